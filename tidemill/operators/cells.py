@@ -14,6 +14,7 @@ from tidemill import fixed_values as fv
 from tidemill.functions.codec import DECODERS, ENCODERS
 from tidemill.functions.keys import row_key
 from tidemill.operators.decode import decode_timed_records
+from tidemill.operators.documents import latest_by
 
 CELL_KEY = ("rowkey", "family", "qualifier")
 
@@ -120,11 +121,13 @@ def record_cells(
     names: dict[str, str] | None = None,
     version=0,
     value: str = "value",
+    order: Column | None = None,
 ) -> DataFrame:
     """Timed-record messages to cells of the table their topic maps to.
 
     The row key is the digest of the name, and fields are renamed.  Messages
-    of topics without a table and undecodable ones give no cells.
+    of topics without a table and undecodable ones give no cells.  If all get
+    the same version, ``order`` picks the last message of each row.
     """
     names = names or fv.TIMED_RECORD_CELLS
     records = decode_timed_records(messages.filter(F.col("topic").isin(*tables)), value).good
@@ -135,7 +138,10 @@ def record_cells(
         row_key("name").alias("rowkey"),
         stamp.cast("long").alias("version"),
         *[F.col(f).cast("string").alias(q) for f, q in names.items()],
+        *([order.alias("_order")] if order is not None else []),
     )
+    if order is not None:
+        keyed = latest_by(keyed, ["table", "rowkey"], F.col("_order")).drop("_order")
     return (
         keyed.unpivot(["table", "rowkey", "version"], list(names.values()), "qualifier", "value")
         .filter(F.col("value").isNotNull())

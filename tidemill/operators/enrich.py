@@ -11,7 +11,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill import fixed_values as fv
-from tidemill.functions.jsons import join_ids, json_strings, reply_industries, reply_ok
+from tidemill.functions.jsons import (
+    in_whitelist,
+    join_ids,
+    json_strings,
+    reply_industries,
+    reply_ok,
+)
+from tidemill.operators.cells import project_cells
 
 # A scorer takes a list of texts and returns one reply text (or None) each.
 Scorer = Callable[[list[str]], list[str | None]]
@@ -87,13 +94,20 @@ def _score_batch(scorer: Scorer, texts: pd.Series, max_attempts: int, wait_secon
     return pd.DataFrame({"reply": pd.Series(replies, dtype="object"), "attempts": attempts})
 
 
-def keep_whitelisted(posts: DataFrame, condition: Column) -> DataFrame:
-    """Posts of the industries of interest (see ``in_whitelist``)."""
-    return posts.filter(condition)
+def keep_whitelisted(posts: DataFrame, ids: str = "sub_industry_id") -> DataFrame:
+    """Posts with an id among the industries of interest."""
+    return posts.filter(in_whitelist(ids))
 
 
 # -- parent lookup -----------------------------------------------------------
 
+
+def industry_dimension(cells: DataFrame) -> DataFrame:
+    """The dimension ``(id, parent_id)`` from its cell table."""
+    parents = project_cells(cells, ["parent_id"])
+    return parents.select(F.col("rowkey").alias("id"), "parent_id")
+
+
 MAX_INLINE_ENTRIES = 100_000
 MAX_INLINE_BYTES = 16 << 20
 

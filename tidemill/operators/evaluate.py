@@ -11,13 +11,13 @@ def filter_computed(df: DataFrame, condition: Column) -> DataFrame:
 
     The optimizer pushes a plain filter through the projection by copying the
     computed expression into it, so every surviving row pays for it twice (2.5
-    times the run time for the cleaning chain).  A filter that also reads a
-    non-deterministic column stays above the projection; projection and filter
-    still run in one generated stage.  Filters on stored columns belong in
-    front of this step, where they reach the scan.
+    times the run time for the cleaning chain).  A projection with a
+    non-deterministic column (the task number, the cheapest one) keeps the
+    filter above it; both still run in one generated stage.  Filters on stored
+    columns belong in front of this step, where they reach the scan.
     """
     return (
-        df.withColumn("_row", F.monotonically_increasing_id())
-        .filter(condition & (F.col("_row") >= 0))
-        .drop("_row")
+        df.withColumn("_task", F.spark_partition_id())
+        .filter(condition & (F.col("_task") >= 0))
+        .drop("_task")
     )

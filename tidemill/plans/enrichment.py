@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemill.operators.cells import to_cells
 from tidemill.operators.clean import as_results, clean_posts
 from tidemill.operators.decode import decode_posts
+from tidemill.operators.documents import latest_by
 from tidemill.operators.enrich import classify, lookup_parents, split_failures
 from tidemill.streaming.logs import BatchLog
 from tidemill.streaming.run import Snapshot, fan_out, log_sink, start
@@ -76,13 +77,6 @@ def as_documents(results: DataFrame) -> DataFrame:
     return results.select(F.col("rowkey").alias("meta_id"), *results.columns)
 
 
-def one_per_rowkey(results: DataFrame) -> DataFrame:
-    """The last message of each row key within a batch."""
-    return results.groupBy("rowkey").agg(
-        F.max_by(F.struct(*[c for c in results.columns if c != "rowkey"]), F.struct(*POSITION)).alias("_n")
-    ).select("rowkey", *[F.col("_n")[c].alias(c) for c in results.columns if c != "rowkey"])
-
-
 def start_enrichment(
     messages: DataFrame,
     dimension: Snapshot,
@@ -101,7 +95,7 @@ def start_enrichment(
 
     def succeeded(batch: DataFrame) -> DataFrame:
         keyed = split_failures(batch)[0].filter(F.col("rowkey").isNotNull())
-        return as_results(one_per_rowkey(keyed))
+        return as_results(latest_by(keyed, ["rowkey"], F.struct(*POSITION)))
 
     def cells(batch: DataFrame, batch_id: int) -> DataFrame:
         return to_cells(succeeded(batch), version=batch_id)

@@ -37,7 +37,9 @@ def start_router(
         return route_messages(batch, list(tables))
 
     def cells(batch: DataFrame, batch_id: int) -> DataFrame:
-        return record_cells(batch.filter(F.col("route") == CELL_ROUTE), tables, version=batch_id)
+        routed = batch.filter(F.col("route") == CELL_ROUTE)
+        last = F.struct("partition", "offset")
+        return record_cells(routed, tables, version=batch_id, order=last)
 
     def republished(batch: DataFrame, batch_id: int) -> DataFrame:
         return to_row_topics(batch.filter(F.col("route") == MAIN_ROUTE))
