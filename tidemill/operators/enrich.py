@@ -151,14 +151,15 @@ def lookup_parents(
     else:
         found = _joined_parents(posts, entries, key, ids, salt)
 
-    no_ids = F.col(ids).isNull() | (F.size(ids) == 0)
-    status = F.when(no_ids | (F.size("_parents") > 0), "ok").otherwise("unmatched")
+    status = (
+        F.when((F.col("_n_ids") == 0) | (F.size("_parents") > 0), "ok").otherwise("unmatched")
+    )
     if "classify_status" in posts.columns:
         status = F.when(F.col("classify_status") == "failed", "failed").otherwise(status)
     kept = [c for c in posts.columns if c != ids]
     return found.select(
         *kept,
-        join_ids(ids).alias(ids),
+        F.col("_ids").alias(ids),
         join_ids("_parents").alias("parent_id"),
         status.alias("enrich_status"),
     )
@@ -171,7 +172,12 @@ def _slot(c: Column, slots: int) -> Column:
 def _inline_parents(posts: DataFrame, entries: DataFrame, ids: str, slots: int) -> DataFrame:
     """The dimension as one array of about one entry per slot, found by the
     hash of the id: constant work per id, where a map value is searched from
-    the front.  It reaches the rows as a scalar subquery, so there is no join."""
+    the front.  It reaches the rows as a scalar subquery, so there is no join.
+
+    Everything derived from the ids is one expression that reads the ids once
+    and the table once.  Only then does the optimizer merge the projections;
+    otherwise the table would be copied into every row.
+    """
     spark = entries.sparkSession
     filled = entries.groupBy(_slot(F.col("id"), slots).alias("slot")).agg(
         F.collect_list(F.struct("id", "parent_id")).alias("entries")
@@ -188,9 +194,24 @@ def _inline_parents(posts: DataFrame, entries: DataFrame, ids: str, slots: int)
         hits = F.filter(slot, lambda e: e["id"] == one_id)
         return F.transform(F.coalesce(hits, F.array()), lambda e: e["parent_id"])
 
-    looked_up = F.flatten(F.transform(F.array_compact(F.coalesce(ids, F.array())), matches))
-    return posts.withColumn("_table", table.scalar()).withColumn(
-        "_parents", F.array_distinct(looked_up)
+    def derive(given: Column) -> Column:
+        known = F.array_compact(F.coalesce(given, F.array()))
+        return F.struct(
+            join_ids(given).alias("ids"),
+            F.coalesce(F.size(given), F.lit(0)).alias("n_ids"),
+            F.array_distinct(F.flatten(F.transform(known, matches))).alias("parents"),
+        )
+
+    kept = [c for c in posts.columns if c != ids]
+    return (
+        posts.withColumn("_table", table.scalar())
+        .select(*kept, F.transform(F.array(ids), derive)[0].alias("_d"))
+        .select(
+            *kept,
+            F.col("_d.ids").alias("_ids"),
+            F.col("_d.n_ids").alias("_n_ids"),
+            F.col("_d.parents").alias("_parents"),
+        )
     )
 
 
@@ -209,8 +230,11 @@ def _joined_parents(
         .groupBy(*key)
         .agg(F.collect_set("parent_id").alias("_parents"))
     )
-    return posts.join(parents, key, "left").withColumn(
-        "_parents", F.coalesce("_parents", F.array())
+    return (
+        posts.withColumn("_ids", join_ids(ids))
+        .withColumn("_n_ids", F.coalesce(F.size(ids), F.lit(0)))
+        .join(parents, key, "left")
+        .withColumn("_parents", F.coalesce("_parents", F.array()))
     )
 
 

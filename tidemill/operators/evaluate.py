@@ -1,4 +1,4 @@
-"""Filtering on an expensive computed column."""
+"""Placing expensive column expressions."""
 
 from __future__ import annotations
 
@@ -21,3 +21,12 @@ def filter_computed(df: DataFrame, condition: Column) -> DataFrame:
         .filter(condition & (F.col("_task") >= 0))
         .drop("_task")
     )
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a bounded frame of few scan tasks over all cores, for expressions
+    that cost more than a shuffle of their input.  A file cannot be split below
+    its row groups, so a small input may come as one task.  Inputs with at least
+    one task per core, as large ones have, are left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

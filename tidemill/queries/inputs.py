@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.operators.cells import to_cells
+from tidemill.operators.evaluate import spread
 from tidemill.queries.registry import table
 from tidemill.queries.sqltext import quote
 
@@ -46,7 +47,7 @@ def decorated_sql(text: str, number: str) -> str:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents")).select(
         "doc_id", decorated("text", F.col("doc_id")).alias("t"), "lang", "source"
     )
 
@@ -58,7 +59,7 @@ DOCUMENTS_SQL = (
 
 def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.col("conv_id") * 7 + F.col("turn")
-    return table(spark, sf_dir, "conversations").select(
+    return spread(table(spark, sf_dir, "conversations")).select(
         "conv_id", "turn", "role", decorated("text", number).alias("t")
     )
 
