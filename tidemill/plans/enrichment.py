@@ -63,6 +63,10 @@ class EnrichmentTables:
     def dead_letters(self) -> BatchLog:
         return self.log("dead_letters")
 
+    @property
+    def rejects(self) -> BatchLog:
+        return self.log("rejects")
+
     def read_cells(self, spark: SparkSession) -> DataFrame:
         """The cell table; the batch id is the version."""
         return self.cells.read(spark).drop("batch_id")
@@ -88,9 +92,10 @@ def start_enrichment(
 ) -> StreamingQuery:
     """Run the flow on a message stream.  Each batch is enriched once, written
     to ``results`` and from there to the cell table, the document index and
-    the dead letters."""
+    the dead letters.  Messages that cannot be decoded go to ``rejects``."""
 
     def enrich(batch: DataFrame, batch_id: int) -> DataFrame:
+        tables.rejects.write(decode_posts(batch).rejects, batch_id)
         return enrich_messages(batch, dimension.at(batch_id), make_scorer, **options)
 
     def succeeded(batch: DataFrame) -> DataFrame:

@@ -44,12 +44,12 @@ def form_encode(spark, sf):
     "query_strings",
     f"""SELECT page_id, url || CASE WHEN contains(url, '?') THEN '&' ELSE '?' END
 || CASE WHEN page_id % 3 = 0 THEN '' ELSE 'id=' || page_id || '&' END
-|| 'head=' || {FORM_SQL.format('left(html, 40)')} AS request FROM pages""",
+|| 'html=' || {FORM_SQL.format('html')} AS request FROM pages""",
 )
 def query_strings(spark, sf):
     parameters = {
         "id": F.when(F.col("page_id") % 3 != 0, F.col("page_id").cast("string")),
-        "head": F.left("html", F.lit(40)),
+        "html": F.col("html"),
     }
     pages = table(spark, sf, "pages")
     return pages.select("page_id", K.append_query("url", parameters).alias("request"))

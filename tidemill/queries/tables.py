@@ -176,13 +176,14 @@ def high_water_mark(spark, sf):
 @query(
     "changed_since",
     f"""SELECT {META_SQL}, {UPDATED_SQL} AS update_time FROM orders
-WHERE {UPDATED_SQL} > (SELECT max({UPDATED_SQL}) FROM orders WHERE o_orderstatus = 'F')""",
+WHERE {UPDATED_SQL} > (SELECT strftime(max(o_orderdate) - INTERVAL 90 DAY, '%Y-%m-%d %H:%M:%S') FROM orders)""",
 )
 def changed_since(spark, sf):
-    """Documents newer than the newest finished one."""
-    documents = order_documents(spark, sf)
-    mark = X.high_water_mark(documents.filter("o_orderstatus = 'F'"))
-    return X.scan_documents(X.changed_since(documents, mark), "update_time")
+    """Documents newer than the newest one of an index loaded 90 days before."""
+    shifted = F.expr("date_format(o_orderdate - INTERVAL 90 DAYS, 'yyyy-MM-dd HH:mm:ss')")
+    loaded = table(spark, sf, "orders").select(shifted.alias("update_time"))
+    changed = X.changed_since(order_documents(spark, sf), X.high_water_mark(loaded))
+    return X.scan_documents(changed, "update_time")
 
 
 @query(

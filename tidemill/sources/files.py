@@ -34,7 +34,7 @@ def comma_records(lines: DataFrame, value: str = "value") -> Decoded:
     """``name,age,time`` lines; further fields are ignored.  Lines with fewer
     fields or an age that is no whole number are rejects."""
     parts = F.split(F.rtrim(F.col(value), F.lit(",")), ",", -1)
-    age = F.col("_p")[1]
+    age = F.get("_p", 1)
     fits = (F.size("_p") >= 3) & age.rlike(r"\A[+-]?[0-9]+\z") & age.try_cast("int").isNotNull()
     parsed = lines.withColumn("_p", parts).withColumn("_ok", F.coalesce(fits, F.lit(False)))
     good = filter_computed(parsed, F.col("_ok")).select(
@@ -48,7 +48,7 @@ def comma_records(lines: DataFrame, value: str = "value") -> Decoded:
 def ampersand_posts(lines: DataFrame, value: str = "value") -> Decoded:
     """``"user"&"id"&epoch_ms&content`` lines; the content may hold further
     ampersands.  Lines with fewer fields or without a time are rejects."""
-    millis = F.col("_p")[2].try_cast("long")
+    millis = F.get("_p", 2).try_cast("long")
     fits = (F.size("_p") == 4) & millis.isNotNull()
     parsed = lines.withColumn("_p", F.split(F.col(value), "&", 4)).withColumn(
         "_ok", F.coalesce(fits, F.lit(False))
