@@ -15,6 +15,7 @@ from tidemill.functions.codec import DECODERS, ENCODERS
 from tidemill.functions.keys import row_key
 from tidemill.operators.decode import decode_timed_records
 from tidemill.operators.documents import latest_by
+from tidemill.operators.evaluate import is_small
 
 CELL_KEY = ("rowkey", "family", "qualifier")
 
@@ -31,19 +32,35 @@ def latest_cells(cells: DataFrame) -> DataFrame:
 
 
 def project_cells(
-    cells: DataFrame, qualifiers: list[str], family: str = fv.CELL_FAMILY
+    cells: DataFrame,
+    qualifiers: list[str],
+    family: str = fv.CELL_FAMILY,
+    empty_rows: bool = True,
 ) -> DataFrame:
-    """Full scan to a flat frame ``rowkey, <qualifiers>``.
-
-    Rows are kept if they have any cell of the family, as a table scan would.
-    One conditional maximum per qualifier needs a single shuffle on the row
-    key, where a pivot would first group by key and qualifier.
+    """Full scan to a flat frame ``rowkey, <qualifiers>``; a missing cell is
+    NULL.
+
+    As in a table scan, rows without any of the cells are kept; without
+    ``empty_rows`` the choice of cells is a filter that reaches the scan.  One
+    conditional maximum per qualifier needs a single shuffle on the row key,
+    where a pivot would first group by key and qualifier.  Values of other
+    cells are dropped before the sort that precedes the aggregation.
     """
+    wanted = (F.col("family") == family) & F.col("qualifier").isin(*qualifiers)
+    if empty_rows:
+        narrow = cells.select(
+            "rowkey",
+            F.when(wanted, F.col("qualifier")).alias("qualifier"),
+            F.when(wanted, F.struct("version", "value")).alias("_cell"),
+        )
+    else:
+        narrow = cells.filter(wanted).select(
+            "rowkey", "qualifier", F.struct("version", "value").alias("_cell")
+        )
     newest = [
-        F.max(F.when(F.col("qualifier") == q, F.struct("version", "value")))["value"].alias(q)
-        for q in qualifiers
+        F.max(F.when(F.col("qualifier") == q, F.col("_cell")))["value"].alias(q) for q in qualifiers
     ]
-    return cells.filter(F.col("family") == family).groupBy("rowkey").agg(*newest)
+    return narrow.groupBy("rowkey").agg(*newest)
 
 
 def get_rows(cells: DataFrame, keys: DataFrame, family: str | None = None) -> DataFrame:
@@ -51,14 +68,20 @@ def get_rows(cells: DataFrame, keys: DataFrame, family: str | None = None) -> Da
     each row as a ``qualifier -> value`` map, empty for unknown keys.
 
     Without ``family`` equal qualifiers of several families compete by version.
+    Few keys are broadcast and filter the scan.  For many, the versions are
+    reduced first, so that a row with very many of them is small when all its
+    cells meet in one task.
     """
     wanted = keys.select("rowkey").distinct()
     scope = cells if family is None else cells.filter(F.col("family") == family)
-    newest = (
-        scope.join(wanted, "rowkey", "left_semi")
-        .groupBy("rowkey", "qualifier")
-        .agg(F.max(F.struct("version", "family", "value"))["value"].alias("value"))
+    few = is_small(keys.select("rowkey"))
+    if few:
+        scope = scope.join(F.broadcast(wanted), "rowkey", "left_semi")
+    newest = scope.groupBy("rowkey", "qualifier").agg(
+        F.max(F.struct("version", "family", "value"))["value"].alias("value")
     )
+    if not few:
+        newest = newest.join(wanted, "rowkey", "left_semi")
     # at most one entry per qualifier is left, so a row's map is its own size
     maps = newest.groupBy("rowkey").agg(
         F.map_from_entries(

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.operators.evaluate import is_small
+
 METADATA = {"meta_index": "_index", "meta_id": "_id", "meta_score": "_score"}
 
 
@@ -19,8 +21,10 @@ def scan_documents(documents: DataFrame, field: str | None = None) -> DataFrame:
 
 
 def scan_updates(documents: DataFrame, field: str = "update_time") -> DataFrame:
-    """Metadata and update time, sorted by it (as text, NULLs first)."""
-    return scan_documents(documents, field).orderBy(F.col(field).asc_nulls_first())
+    """Metadata and update time, sorted by it (as text, NULLs first).  The id
+    settles ties, so that one update time of very many documents can still be
+    cut into several sort ranges."""
+    return scan_documents(documents, field).orderBy(F.col(field).asc_nulls_first(), "meta_id")
 
 
 def high_water_mark(documents: DataFrame, field: str = "update_time") -> DataFrame:
@@ -52,11 +56,15 @@ def latest_by(df: DataFrame, key: list[str], order: Column) -> DataFrame:
 def upsert(current: DataFrame, delta: DataFrame, key: list[str], order: Column) -> DataFrame:
     """Replace or add whole documents by id; ``current`` has one row per id.
 
-    A small delta is broadcast by the anti join on its measured size, and then
-    the current table is not shuffled at all.
+    A small delta is broadcast, and then the current table is scanned without
+    a shuffle; otherwise both sides are shuffled on the id.
     """
     fresh = latest_by(delta, key, order).select(*current.columns)
-    return current.join(fresh.select(*key), key, "left_anti").select(*current.columns).unionByName(fresh)
+    replaced = fresh.select(*key)
+    # fresh has no more rows than the delta, which is cheaper to measure
+    if is_small(delta.select(*key)):
+        replaced = F.broadcast(replaced)
+    return current.join(replaced, key, "left_anti").select(*current.columns).unionByName(fresh)
 
 
 def stringify(df: DataFrame) -> DataFrame:
@@ -69,21 +77,28 @@ def merge_supplied(current: DataFrame, delta: DataFrame, key: list[str]) -> Data
     it does not have keep their value, unknown keys are added.  Both sides
     have one row per key.
 
-    Left join plus insert instead of a full outer join: with a small delta
-    both joins broadcast it, and the current table is scanned, not shuffled.
+    A full outer join shuffles both sides.  For a small delta it is replaced by
+    an outer join that broadcasts the delta, plus the new keys: the current
+    table is scanned twice (the second time only its key) and not shuffled.
     """
     supplied = [c for c in delta.columns if c not in key]
     changes = delta.select(*key, F.struct(*supplied).alias("_d"))
-    merged = current.join(changes, key, "left").select(
-        *key,
-        *[
-            F.when(F.col("_d").isNotNull(), F.col("_d")[c]).otherwise(F.col(c)).alias(c)
-            if c in supplied
-            else F.col(c)
-            for c in current.columns
-            if c not in key
-        ],
-    )
-    known = current.select(*key).join(delta.select(*key), key, "left_semi")
-    added = delta.join(known, key, "left_anti")
-    return merged.unionByName(added, allowMissingColumns=True)
+
+    def merged(joined: DataFrame) -> DataFrame:
+        columns = []
+        for c in [*current.columns, *[c for c in supplied if c not in current.columns]]:
+            if c not in supplied:
+                columns.append(F.col(c))
+            elif c not in current.columns:
+                columns.append(F.col("_d")[c].alias(c))
+            else:
+                columns.append(F.when(F.col("_d").isNotNull(), F.col("_d")[c]).otherwise(F.col(c)).alias(c))
+        return joined.select(*columns)
+
+    if not is_small(delta):
+        return merged(current.join(changes, key, "full_outer"))
+    updated = merged(current.join(F.broadcast(changes), key, "left"))
+    known = current.select(*key).join(F.broadcast(delta.select(*key)), key, "left_semi")
+    # no more known keys than delta rows
+    added = delta.join(F.broadcast(known), key, "left_anti")
+    return updated.unionByName(added, allowMissingColumns=True)

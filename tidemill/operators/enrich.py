@@ -19,6 +19,7 @@ from tidemill.functions.jsons import (
     reply_ok,
 )
 from tidemill.operators.cells import project_cells
+from tidemill.session import shared_dir
 
 # A scorer takes a list of texts and returns one reply text (or None) each.
 Scorer = Callable[[list[str]], list[str | None]]
@@ -104,7 +105,7 @@ def keep_whitelisted(posts: DataFrame, ids: str = "sub_industry_id") -> DataFram
 
 def industry_dimension(cells: DataFrame) -> DataFrame:
     """The dimension ``(id, parent_id)`` from its cell table."""
-    parents = project_cells(cells, ["parent_id"])
+    parents = project_cells(cells, ["parent_id"], empty_rows=False)
     return parents.select(F.col("rowkey").alias("id"), "parent_id")
 
 
@@ -126,6 +127,7 @@ def lookup_parents(
     ids: str = "sub_industry_id",
     strategy: str = "auto",
     salt: int = 8,
+    stage: bool = False,
 ) -> DataFrame:
     """Replace the id array by a sorted comma string and add ``parent_id``
     (the distinct parents of all ids, sorted, comma-joined) and
@@ -134,6 +136,10 @@ def lookup_parents(
     ``dimension`` has columns ``id, parent_id``.  ``inline`` needs it below the
     checked bounds and shuffles nothing; ``join`` works for any size and needs
     ``key``, non-NULL columns that identify a post.  ``auto`` measures.
+
+    ``join`` reads the posts twice.  If their ids come from a model, ask for
+    ``stage``: the posts are then written to the shared directory first, and
+    the model is called once.
     """
     entries = dimension.select(
         F.col("id").cast("string"), F.col("parent_id").cast("string")
@@ -149,7 +155,7 @@ def lookup_parents(
     if strategy == "inline":
         found = _inline_parents(posts, entries, ids, max(rows, 1))
     else:
-        found = _joined_parents(posts, entries, key, ids, salt)
+        found = _joined_parents(staged(posts) if stage else posts, entries, key, ids, salt)
 
     status = (
         F.when((F.col("_n_ids") == 0) | (F.size("_parents") > 0), "ok").otherwise("unmatched")
@@ -165,6 +171,13 @@ def lookup_parents(
     )
 
 
+def staged(df: DataFrame) -> DataFrame:
+    """The frame as a written table: its lineage ends here."""
+    path = shared_dir(df.sparkSession, "staged")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _slot(c: Column, slots: int) -> Column:
     return F.pmod(F.xxhash64(c), F.lit(slots)).cast("int")
 

@@ -30,3 +30,18 @@ def spread(df: DataFrame) -> DataFrame:
     one task per core, as large ones have, are left alone."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+MAX_BROADCAST_ROWS = 100_000
+MAX_BROADCAST_BYTES = 32 << 20
+
+
+def is_small(df: DataFrame) -> bool:
+    """Whether a bounded frame stays below the broadcast bounds.  At most one
+    row beyond the bound is read, so a large frame is not scanned for this."""
+    if df.isStreaming:
+        return False
+    size = F.coalesce(F.octet_length(F.to_json(F.struct(*df.columns))), F.lit(0)).alias("size")
+    head = df.select(size).limit(MAX_BROADCAST_ROWS + 1)
+    rows, size = head.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    return rows <= MAX_BROADCAST_ROWS and size <= MAX_BROADCAST_BYTES

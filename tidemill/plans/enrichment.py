@@ -28,7 +28,7 @@ def enrich_posts(
     shuffled unless the dimension is too large to inline."""
     cleaned = clean_posts(posts)
     classified = classify(cleaned, make_scorer, **(classify_options or {}))
-    return lookup_parents(classified, dimension, key, **(lookup_options or {}))
+    return lookup_parents(classified, dimension, key, stage=True, **(lookup_options or {}))
 
 
 def enrich_messages(

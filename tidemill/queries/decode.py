@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions import jsons
 from tidemill.operators import decode as D
+from tidemill.operators.evaluate import spread
 from tidemill.queries import inputs
 from tidemill.queries.inputs import IS_OBJECT_SQL, MESSAGES_SQL
 from tidemill.queries.registry import query, table
@@ -12,7 +13,7 @@ AGE_SQL = "json_extract_string(value, '$.age')"
 
 
 def _messages(spark, sf):
-    return inputs.messages(table(spark, sf, "events"))
+    return inputs.messages(spread(table(spark, sf, "events")))
 
 
 @query(
@@ -87,7 +88,7 @@ def classifier_replies(spark, sf):
     as_object = F.concat(F.lit('{"msg":"'), message, F.lit('","data":['), scores, F.lit("]}"))
     as_text = F.to_json(F.struct(message.alias("msg"), F.array(scores).alias("data")))
     reply = F.when(F.col("doc_id") % 2 == 0, as_text).otherwise(as_object)
-    replies = table(spark, sf, "documents").select("doc_id", reply.alias("reply"))
+    replies = spread(table(spark, sf, "documents")).select("doc_id", reply.alias("reply"))
     return replies.select(
         "doc_id",
         jsons.reply_ok("reply").alias("ok"),
@@ -115,7 +116,7 @@ def _industry_messages(spark, sf):
         F.when(F.col("o_orderstatus") == "F", (F.col("o_orderkey") % 30).cast("string")).alias("industry_2"),
         F.length("o_orderpriority").cast("string").alias("industry_3"),
     )
-    return table(spark, sf, "orders").select("o_orderkey", F.to_json(fields).alias("value"))
+    return spread(table(spark, sf, "orders")).select("o_orderkey", F.to_json(fields).alias("value"))
 
 
 @query(

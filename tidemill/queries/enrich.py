@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemill.functions.jsons import join_ids
 from tidemill.operators import clean
 from tidemill.operators import enrich as E
+from tidemill.operators.evaluate import spread
 from tidemill.operators.messages import in_input_order
 from tidemill.plans.enrichment import enrich_messages, enrich_posts
 from tidemill.plans.router import route_messages
@@ -49,7 +50,9 @@ CASE WHEN length(text) % 7 = 0 THEN 3 ELSE 1 END AS attempts,
 CASE WHEN length(text) % 7 = 0 THEN 'failed' ELSE 'ok' END AS classify_status FROM documents""",
 )
 def classify_posts(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", F.col("text").alias("post_content"))
+    docs = spread(table(spark, sf, "documents")).select(
+        "doc_id", F.col("text").alias("post_content")
+    )
     scored = E.classify(docs, stand_in_scorer)
     return scored.select(
         "doc_id",
@@ -65,7 +68,7 @@ SELECT *, CASE WHEN sub_industry_id = '' OR parent_id <> '' THEN 'ok' ELSE 'unma
 
 
 def _documents_with_ids(spark, sf):
-    return table(spark, sf, "documents").select(
+    return spread(table(spark, sf, "documents")).select(
         "doc_id", inputs.word_ids("text").alias("sub_industry_id")
     )
 
@@ -95,7 +98,7 @@ CASE WHEN parent_id IS NULL THEN 'unmatched' ELSE 'ok' END AS enrich_status FROM
 def lookup_by_customer(spark, sf):
     """A dimension that grows with the data (customer to nation)."""
     ids = [F.col("o_custkey"), F.col("o_custkey") + 1, F.col("o_custkey") + 100000000]
-    posts = table(spark, sf, "orders").select(
+    posts = spread(table(spark, sf, "orders")).select(
         "o_orderkey", F.array(*[i.cast("string") for i in ids]).alias("sub_industry_id")
     )
     customers = table(spark, sf, "customer").select(
@@ -186,11 +189,15 @@ def enrich_from_messages(spark, sf):
 @query(
     "ordered_results",
     CLEANED_MESSAGES_SQL
-    + """ SELECT topic, partition, "offset", rowkey FROM cleaned WHERE t <> '' ORDER BY topic, partition, "offset" """,
+    + f""" SELECT topic, partition, "offset", rowkey, CASE WHEN length(t) % 7 <> 0 THEN {IDS_TEXT} ELSE '' END AS ids
+FROM cleaned WHERE t <> '' ORDER BY topic, partition, "offset" """,
 )
 def ordered_results(spark, sf):
     enriched = enrich_messages(post_messages(spark, sf), dimension(spark, sf), stand_in_scorer)
-    return in_input_order(enriched).select("topic", "partition", "offset", "rowkey")
+    ordered = in_input_order(enriched)
+    return ordered.select(
+        "topic", "partition", "offset", "rowkey", F.col("sub_industry_id").alias("ids")
+    )
 
 
 @query(
@@ -223,5 +230,5 @@ def whitelisted_posts(spark, sf):
 FROM ({inputs.MESSAGES_SQL}) WHERE {inputs.IS_OBJECT_SQL}""",
 )
 def routed(spark, sf):
-    messages = inputs.messages(table(spark, sf, "events"))
+    messages = inputs.messages(spread(table(spark, sf, "events")))
     return route_messages(messages, ["click", "view"]).select("topic", "partition", "offset", "route")

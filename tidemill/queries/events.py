@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tidemill.operators import events as V
 from tidemill.operators import messages as M
+from tidemill.operators.evaluate import spread
 from tidemill.queries import inputs
 from tidemill.queries.registry import query, table
 
@@ -98,7 +99,7 @@ POSITION_SQL = 'topic, partition, "offset"'
 
 
 def log(spark, sf):
-    return inputs.messages(table(spark, sf, "events"))
+    return inputs.messages(spread(table(spark, sf, "events")))
 
 
 @query("start_earliest", f"SELECT {POSITION_SQL}, value FROM ({inputs.MESSAGES_SQL})")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tidemill.functions import keys as K
 from tidemill.operators import cells as C
 from tidemill.operators.requests import translation_requests
+from tidemill.operators.evaluate import spread
 from tidemill.queries.registry import query, table
 
 URL = "http://translate.example.com/api"
@@ -36,7 +37,7 @@ def md5_keys(spark, sf):
     f"""SELECT page_id, {FORM_SQL.format('url')} AS url, {FORM_SQL.format('html')} AS html FROM pages""",
 )
 def form_encode(spark, sf):
-    pages = table(spark, sf, "pages")
+    pages = spread(table(spark, sf, "pages"))
     return pages.select("page_id", K.form_encode("url").alias("url"), K.form_encode("html").alias("html"))
 
 
@@ -51,7 +52,7 @@ def query_strings(spark, sf):
         "id": F.when(F.col("page_id") % 3 != 0, F.col("page_id").cast("string")),
         "html": F.col("html"),
     }
-    pages = table(spark, sf, "pages")
+    pages = spread(table(spark, sf, "pages"))
     return pages.select("page_id", K.append_query("url", parameters).alias("request"))
 
 
@@ -62,7 +63,7 @@ def query_strings(spark, sf):
 FROM (SELECT *, md5('app-1' || text || (1700000000000 + doc_id) || 'not-a-secret') AS sign FROM documents)""",
 )
 def requests(spark, sf):
-    docs = table(spark, sf, "documents").select(
+    docs = spread(table(spark, sf, "documents")).select(
         "doc_id", "text", "lang", (F.lit(1_700_000_000_000) + F.col("doc_id")).alias("salt")
     )
     signed = translation_requests(

@@ -6,6 +6,7 @@ from tidemill.operators import cells as C
 from tidemill.operators import documents as X
 from tidemill.operators import messages as M
 from tidemill.plans.seeding import seed_messages
+from tidemill.operators.evaluate import spread
 from tidemill.queries import inputs
 from tidemill.queries.decode import TIMED_SQL
 from tidemill.queries.keys import GROUPS_SQL
@@ -20,7 +21,7 @@ ORDER_FIELDS = ["o_orderstatus", "o_orderpriority", "o_custkey", "note"]
 
 
 def order_cells(spark, sf):
-    orders = table(spark, sf, "orders").withColumn("rowkey", F.col("o_orderkey").cast("string"))
+    orders = spread(table(spark, sf, "orders")).withColumn("rowkey", F.col("o_orderkey").cast("string"))
     note = F.when(F.col("o_orderstatus") == "O", F.col("o_orderdate").cast("date").cast("string"))
     first = orders.select("rowkey", *ORDER_FIELDS[:3], note.alias("note"))
     changed = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("X-"), "o_orderstatus"))
@@ -108,7 +109,7 @@ SELECT "table", rowkey, 'info' AS family, qualifier, version, value
 FROM k UNPIVOT (value FOR qualifier IN (adid, adname, dn))""",
 )
 def record_cells(spark, sf):
-    messages = inputs.messages(table(spark, sf, "events"))
+    messages = inputs.messages(spread(table(spark, sf, "events")))
     return C.record_cells(messages, TOPIC_TABLES, version=F.col("offset"))
 
 
@@ -302,7 +303,7 @@ def hash_upsert(spark, sf):
 3 + CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS fields FROM orders""",
 )
 def seed_topic(spark, sf):
-    orders = table(spark, sf, "orders").select(
+    orders = spread(table(spark, sf, "orders")).select(
         F.col("o_orderkey").cast("string").alias("rowkey"),
         F.col("o_orderstatus").alias("type"),
         F.lit("clerk").alias("media"),

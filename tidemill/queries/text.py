@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tidemill.functions import jsons
 from tidemill.functions import text as T
 from tidemill.operators import clean
+from tidemill.operators.evaluate import spread
 from tidemill.queries import inputs
 from tidemill.queries import sqltext as S
 from tidemill.queries.registry import query, table
@@ -53,7 +54,7 @@ def strip_documents(spark, sf):
     + " SELECT page_id, t AS stripped FROM stripped",
 )
 def strip_pages(spark, sf):
-    return table(spark, sf, "pages").select("page_id", T.strip_post("html").alias("stripped"))
+    return spread(table(spark, sf, "pages")).select("page_id", T.strip_post("html").alias("stripped"))
 
 
 @query(
@@ -138,7 +139,7 @@ def post_projection(spark, sf):
 )
 def industry_whitelist(spark, sf):
     ids = inputs.word_ids("text")
-    return table(spark, sf, "documents").select("doc_id", jsons.in_whitelist(ids).alias("listed"))
+    return spread(table(spark, sf, "documents")).select("doc_id", jsons.in_whitelist(ids).alias("listed"))
 
 
 @query(
@@ -147,4 +148,4 @@ def industry_whitelist(spark, sf):
 )
 def join_ids(spark, sf):
     ids = inputs.word_ids("text")
-    return table(spark, sf, "documents").select("doc_id", jsons.join_ids(ids).alias("ids"))
+    return spread(table(spark, sf, "documents")).select("doc_id", jsons.join_ids(ids).alias("ids"))

@@ -65,6 +65,19 @@ def log_sink(log: BatchLog, shape: Callable[[DataFrame, int], DataFrame] | None
     return write
 
 
+def writer_sink(
+    file_format: str, shape: Callable[[DataFrame, int], DataFrame] | None = None, **options: str
+) -> BatchFunction:
+    """Append the (shaped) batch with any batch writer, for instance messages to
+    ``kafka``.  A repeated batch is sent again: at least once."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = shape(batch, batch_id) if shape else batch
+        rows.write.format(file_format).mode("append").options(**options).save()
+
+    return write
+
+
 class Snapshot:
     """A dimension read again every ``every`` batches.
 
