@@ -114,6 +114,23 @@ def test_classify_attempts_and_status(spark):
     assert got[0].sub_industry_id == ["3", "7"] and got[2].sub_industry_id is None
 
 
+def _random_scorer():
+    import random
+
+    return lambda texts: [
+        json.dumps({"msg": "成功", "data": [{str(random.randint(0, 99)): 1}]}, ensure_ascii=False)
+        for _ in texts
+    ]
+
+
+def test_join_reads_one_answer_of_the_model(spark):
+    posts = spark.range(300).select("id", F.lit("text").alias("post_content"))
+    entries = spark.range(100).select(F.col("id").cast("string").alias("id"), F.concat(F.lit("p"), "id").alias("parent_id"))
+    scored = E.classify(posts, _random_scorer)
+    found = E.lookup_parents(scored, entries, ["id"], strategy="join", stage=True)
+    assert all(r.parent_id == f"p{r.sub_industry_id}" for r in found.collect())
+
+
 def test_failing_service_loses_no_rows(spark):
     posts = spark.range(50).select("id", F.concat(F.lit("crash "), "id").alias("post_content"))
     scored = E.classify(posts, _flaky_scorer, max_attempts=2, concurrency=3)

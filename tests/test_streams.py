@@ -15,7 +15,7 @@ from tidemill.queries.enrich import stand_in_scorer
 from tidemill.session import shared_dir
 from tidemill.sources.streams import Start, file_stream, kafka_options
 from tidemill.streaming import windows as W
-from tidemill.streaming.late import late_splitter
+from tidemill.streaming.late import LATE, ON_TIME, LateSplit
 from tidemill.streaming.logs import BatchLog
 from tidemill.streaming.run import Snapshot, fan_out, log_sink, start
 
@@ -192,14 +192,13 @@ def test_late_records_across_batches(spark):
     frames = [spark.createDataFrame(data[i : i + 400], schema) for i in range(0, 1200, 400)]
     path = write_files(spark, "late", frames)
     base = shared_dir(spark, "split")
-    on_time, late, high = (BatchLog(f"{base}/{n}") for n in ("on_time", "late", "high"))
-    split = late_splitter(on_time, late, high, "ms", "arrival", ["k"], block_rows=100)
+    split = LateSplit(base, "ms", "arrival", ["k"], block_rows=100)
     stream = file_stream(spark, path, frames[0].schema, files_per_batch=1)
-    run(start(stream, split, f"{base}/ck", once=True))
-    assert on_time.read(spark).select("batch_id").distinct().count() == 3
-    flagged = {r.arrival for r in late.read(spark).collect()}
+    run(start(stream, split.process, f"{base}/ck", once=True))
+    assert split.records.read(spark).select("batch_id").distinct().count() == 3
+    flagged = {r.arrival for r in split.read(spark, LATE).collect()}
     assert flagged == brute_late(data)
-    assert on_time.read(spark).count() + len(flagged) == len(data)
+    assert split.read(spark, ON_TIME).count() + len(flagged) == len(data)
 
 
 @pytest.mark.parametrize("lateness", [0, 1])

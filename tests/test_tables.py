@@ -1,13 +1,24 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemill.operators import cells as C
 from tidemill.operators import documents as X
+from tidemill.operators import evaluate
 from tidemill.operators import messages as M
 from tidemill.plans.seeding import publish, seed_messages
 from tidemill.session import shared_dir
 
+
+@pytest.fixture(params=["broadcast", "shuffle"])
+def sizes(request, monkeypatch):
+    """Both ways of every operator that measures a side before broadcasting."""
+    if request.param == "shuffle":
+        monkeypatch.setattr(evaluate, "MAX_BROADCAST_ROWS", 0)
+    return request.param
+
+
 CELLS = "rowkey string, family string, qualifier string, version long, value string"
 
 
@@ -37,15 +48,15 @@ def test_latest_and_projection(spark):
     for r, f, q, v, x in data:
         newest[r, f, q] = max(newest.get((r, f, q), (-1, "")), (v, x))
     assert rows(C.latest_cells(frame)) == sorted(((*k, *v) for k, v in newest.items()), key=repr)
-    expected = {
-        r: tuple(newest.get((r, "info", q), (0, None))[1] for q in "abz")
-        for r, f, _ in newest
-        if f == "info"
-    }
-    assert {r.rowkey: tuple(r)[1:] for r in C.project_cells(frame, ["a", "b", "z"]).collect()} == expected
+    expected = {r: tuple(newest.get((r, "info", q), (0, None))[1] for q in "abz") for r, _, _ in newest}
+    got = {r.rowkey: tuple(r)[1:] for r in C.project_cells(frame, ["a", "b", "z"]).collect()}
+    assert got == expected
+    filled = {r: v for r, v in expected.items() if any(v)}
+    got = C.project_cells(frame, ["a", "b", "z"], empty_rows=False).collect()
+    assert {r.rowkey: tuple(r)[1:] for r in got} == filled
 
 
-def test_point_gets(spark):
+def test_point_gets(spark, sizes):
     data, frame = random_cells(spark)
     keys = spark.createDataFrame([("hot",), ("r1",), ("unknown",), ("r1",)], "rowkey string")
     for family in (None, "info"):
@@ -94,7 +105,7 @@ def test_time_keys_do_not_collide(spark):
 DOCS = "meta_id string, a string, b string"
 
 
-def test_upsert_with_a_hot_id(spark):
+def test_upsert_with_a_hot_id(spark, sizes):
     current = spark.createDataFrame([("1", "x", "y"), ("2", "x", "y")], DOCS)
     delta = spark.range(2000).select(
         F.when(F.col("id") % 2 == 0, "2").otherwise((F.col("id") % 5 + 1).cast("string")).alias("meta_id"),
@@ -110,12 +121,25 @@ def test_upsert_with_a_hot_id(spark):
     assert got == sorted((k, v, None if v != "x" else "y") for k, v in last.items())
 
 
-def test_partial_update(spark):
+def test_partial_update(spark, sizes):
     current = spark.createDataFrame([("1", "x", "y"), ("2", "x", "y")], DOCS)
     delta = spark.createDataFrame([("2", None), ("3", "new")], "meta_id string, b string")
-    assert rows(X.merge_supplied(current, delta, ["meta_id"])) == [
-        ("1", "x", "y"), ("2", "x", None), ("3", None, "new"),
-    ]
+    merged = X.merge_supplied(current, delta, ["meta_id"])
+    assert rows(merged) == [("1", "x", "y"), ("2", "x", None), ("3", None, "new")]
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert ("FullOuter" in plan) == (sizes == "shuffle")
+    wider = delta.withColumn("c", F.lit(1))
+    got = X.merge_supplied(current, wider, ["meta_id"]).select("meta_id", "a", "b", "c")
+    assert rows(got) == [("1", "x", "y", None), ("2", "x", None, 1), ("3", None, "new", 1)]
+
+
+def test_size_check(spark, monkeypatch):
+    assert evaluate.is_small(spark.range(10))
+    monkeypatch.setattr(evaluate, "MAX_BROADCAST_ROWS", 9)
+    assert not evaluate.is_small(spark.range(10))
+    monkeypatch.setattr(evaluate, "MAX_BROADCAST_ROWS", 10)
+    monkeypatch.setattr(evaluate, "MAX_BROADCAST_BYTES", 50)
+    assert not evaluate.is_small(spark.range(10))
 
 
 def documents(spark, times):
@@ -148,7 +172,7 @@ def test_message_shapes(spark):
     assert tuple(M.to_hash(frame, "h", "topic", "value").first()) == ("h", "t1", "né")
 
 
-def test_routes_and_positions(spark):
+def test_routes_and_positions(spark, sizes):
     log = spark.createDataFrame(
         [("a", 0, 0), ("a", 0, 5), ("a", 1, 7), ("b", 0, 2), ("c", 0, 9)],
         "topic string, partition int, offset long",

@@ -49,16 +49,13 @@ def project_cells(
     wanted = (F.col("family") == family) & F.col("qualifier").isin(*qualifiers)
     if empty_rows:
         narrow = cells.select(
-            "rowkey",
-            F.when(wanted, F.col("qualifier")).alias("qualifier"),
-            F.when(wanted, F.struct("version", "value")).alias("_cell"),
+            "rowkey", *[F.when(wanted, F.col(c)).alias(c) for c in ("qualifier", "version", "value")]
         )
     else:
-        narrow = cells.filter(wanted).select(
-            "rowkey", "qualifier", F.struct("version", "value").alias("_cell")
-        )
+        narrow = cells.filter(wanted).select("rowkey", "qualifier", "version", "value")
     newest = [
-        F.max(F.when(F.col("qualifier") == q, F.col("_cell")))["value"].alias(q) for q in qualifiers
+        F.max(F.when(F.col("qualifier") == q, F.struct("version", "value")))["value"].alias(q)
+        for q in qualifiers
     ]
     return narrow.groupBy("rowkey").agg(*newest)
 

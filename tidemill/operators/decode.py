@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,12 +21,15 @@ class Decoded:
     rejects: DataFrame
 
 
-def _parse(value: Column, schema: T.StructType) -> Column:
-    """All fields as strings, NULL unless the text is one JSON object."""
+def _parse(df: DataFrame, value: str, schema: T.StructType) -> DataFrame:
+    """Add ``_r``: all fields as strings, NULL unless the text is one JSON
+    object.  The array is a projection of its own, so it is parsed once."""
     loose = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    parsed = F.from_json(in_array(value), T.ArrayType(loose))
-    return F.when(
-        looks_like_object(value) & (F.size(parsed) == 1), F.element_at(parsed, 1)
+    single = looks_like_object(value) & (F.size("_a") == 1)
+    return (
+        df.withColumn("_a", F.from_json(in_array(value), T.ArrayType(loose)))
+        .withColumn("_r", F.when(single, F.get("_a", 0)))
+        .drop("_a")
     )
 
 
@@ -37,7 +40,7 @@ def decode_json(
     ignored; a text that is no JSON object, or a field that does not fit its
     type, is a reject.  With ``fail_fast`` the first reject fails the job."""
     fields = [F.col("_r")[f.name].try_cast(f.dataType).alias(f.name) for f in schema.fields]
-    parsed = df.withColumn("_r", _parse(F.col(value), schema))
+    parsed = _parse(df, value, schema)
     misfits = [
         F.col("_r")[f.name].isNotNull() & F.col("_r")[f.name].try_cast(f.dataType).isNull()
         for f in schema.fields

@@ -235,13 +235,17 @@ def _joined_parents(
     id that occurs in most posts over several tasks; the dimension is copied
     once per salt value.  A group of the second aggregation is one post."""
     pairs = posts.select(
-        *key, F.explode(F.array_distinct(ids)).alias("id")
+        *key, F.explode(F.array_distinct(ids)).alias("_id")
     ).withColumn("_salt", F.pmod(F.xxhash64(*key), F.lit(salt)).cast("int"))
-    salted = entries.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+    salted = entries.select(
+        F.col("id").alias("_id"),
+        F.col("parent_id").alias("_parent"),
+        F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).alias("_salt"),
+    )
     parents = (
-        pairs.join(salted, ["id", "_salt"])
+        pairs.join(salted, ["_id", "_salt"])
         .groupBy(*key)
-        .agg(F.collect_set("parent_id").alias("_parents"))
+        .agg(F.collect_set("_parent").alias("_parents"))
     )
     return (
         posts.withColumn("_ids", join_ids(ids))

@@ -24,7 +24,7 @@ from tidemill.queries.registry import query, table
 from tidemill.session import shared_dir
 from tidemill.sources.streams import file_stream
 from tidemill.streaming import windows as W
-from tidemill.streaming.late import late_splitter
+from tidemill.streaming.late import LATE, ON_TIME, LateSplit
 from tidemill.streaming.logs import BatchLog
 from tidemill.streaming.run import Snapshot, fan_out, log_sink, start
 
@@ -126,14 +126,14 @@ def allowed_lateness(spark, sf):
 @query("late_records_stream", LATE_BY_TYPE_SQL)
 def late_records_stream(spark, sf):
     base = shared_dir(spark, "late")
-    on_time, late, high = (BatchLog(f"{base}/{n}") for n in ("on_time", "late", "high"))
-    split = late_splitter(on_time, late, high, "event_ms", "event_id", ["event_type"], block_rows=1000)
+    split = LateSplit(base, "event_ms", "event_id", ["event_type"], block_rows=1000)
     events = jittered(table_stream(spark, sf, "events"))
-    finish(start(events, split, f"{base}/checkpoint", once=True))
-    columns = ["event_id", "event_type", "event_ms"]
+    finish(start(events, split.process, f"{base}/checkpoint", once=True))
     flagged = [
-        log.read(spark).select(*columns, F.lit(flag).alias("late"))
-        for log, flag in ((on_time, False), (late, True))
+        split.read(spark, output).select(
+            "event_id", "event_type", "event_ms", F.lit(output == LATE).alias("late")
+        )
+        for output in (ON_TIME, LATE)
     ]
     return flagged[0].unionByName(flagged[1])
 

@@ -51,7 +51,7 @@ def project_cells(spark, sf):
     "latest_cells",
     f"""WITH o AS (SELECT *, {STATUS_SQL} AS s, {NOTE_SQL} AS note FROM orders)
 SELECT o_orderkey::VARCHAR AS rowkey, 'info' AS family, 'o_orderstatus' AS qualifier,
-CASE WHEN o_orderkey % 3 = 0 THEN 2 ELSE 1 END AS version, s AS value FROM o
+(CASE WHEN o_orderkey % 3 = 0 THEN 2 ELSE 1 END)::BIGINT AS version, s AS value FROM o
 UNION ALL SELECT o_orderkey::VARCHAR, 'info', 'o_orderpriority', 1, o_orderpriority FROM o
 UNION ALL SELECT o_orderkey::VARCHAR, 'info', 'o_custkey', 1, o_custkey::VARCHAR FROM o
 UNION ALL SELECT o_orderkey::VARCHAR, 'info', 'note', 1, note FROM o WHERE note IS NOT NULL
@@ -79,7 +79,7 @@ def get_rows(spark, sf):
 
 CUSTOMER_CELLS_SQL = """WITH c AS (SELECT c_custkey::VARCHAR AS rowkey, c_name,
 CASE WHEN c_custkey % 5 <> 0 THEN c_mktsegment END AS c_mktsegment, c_nationkey::VARCHAR AS c_nationkey FROM customer)
-SELECT rowkey, 'info' AS family, qualifier, 7 AS version, value
+SELECT rowkey, 'info' AS family, qualifier, 7::BIGINT AS version, value
 FROM c UNPIVOT (value FOR qualifier IN (c_name, c_mktsegment, c_nationkey))"""
 
 

@@ -8,7 +8,7 @@ written beside each batch and read by the next one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill import fixed_values as fv
@@ -16,35 +16,51 @@ from tidemill.operators.events import flag_late, high_event_times
 from tidemill.streaming.logs import BatchLog
 from tidemill.streaming.run import BatchFunction
 
+LATE = "late"
+ON_TIME = "on_time"
 
-def late_splitter(
-    on_time: BatchLog,
-    late: BatchLog,
-    high: BatchLog,
-    event_ms: str,
-    arrival: str,
-    keys: list[str] | None = None,
-    delay_ms: int = fv.OUT_OF_ORDERNESS_MS,
-    block_rows: int = 1_000_000,
-) -> BatchFunction:
-    """A batch function that writes records to one of two logs.
+
+class LateSplit:
+    """Records below ``base`` in two outputs, with the state between batches.
 
     Batch ``n`` reads the state of batch ``n - 1`` and writes its own, so a
     repeated batch computes the same result again.  ``arrival`` must grow from
     batch to batch (a message offset does).
     """
-    keys = list(keys or [])
 
-    def process(batch: DataFrame, batch_id: int) -> None:
+    def __init__(
+        self,
+        base: str,
+        event_ms: str,
+        arrival: str,
+        keys: list[str] | None = None,
+        delay_ms: int = fv.OUT_OF_ORDERNESS_MS,
+        block_rows: int = 1_000_000,
+    ):
+        self.records = BatchLog(f"{base}/records", ("output",))
+        self.high = BatchLog(f"{base}/high")
+        self.event_ms, self.arrival, self.keys = event_ms, arrival, list(keys or [])
+        self.delay_ms, self.block_rows = delay_ms, block_rows
+
+    def process(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        carry = high.read_batch(spark, batch_id - 1) if batch_id else None
-        flagged = flag_late(batch, event_ms, arrival, keys, delay_ms, block_rows, carry)
-        on_time.write(flagged.filter(~F.col("late")).drop("late"), batch_id)
-        late.write(flagged.filter("late").drop("late"), batch_id)
+        carry = self.high.read_batch(spark, batch_id - 1) if batch_id else None
+        flagged = flag_late(
+            batch, self.event_ms, self.arrival, self.keys, self.delay_ms, self.block_rows, carry
+        )
+        # both outputs in one pass, as partitions of one table
+        output = F.when(F.col("late"), LATE).otherwise(ON_TIME)
+        self.records.write(flagged.withColumn("output", output).drop("late"), batch_id)
 
-        times = high_event_times(batch, event_ms, keys)
+        written = self.records.read_batch(spark, batch_id)
+        times = high_event_times(written, self.event_ms, self.keys)
         if carry is not None:
-            times = times.unionByName(carry).groupBy(*keys).agg(F.max("high_ms").alias("high_ms"))
-        high.write(times, batch_id)
+            times = times.unionByName(carry).groupBy(*self.keys)
+            times = times.agg(F.max("high_ms").alias("high_ms"))
+        self.high.write(times, batch_id)
+
+    __call__: BatchFunction = process
 
-    return process
+    def read(self, spark: SparkSession, output: str) -> DataFrame:
+        """The records of one output; the other one's files are not read."""
+        return self.records.read(spark).filter(F.col("output") == output).drop("output")
