@@ -5,14 +5,16 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from tidemill.session import local_session, ship_package  # noqa: E402
+from tidemill.session import carry_code, local_session  # noqa: E402
+
+
+carry_code()
 
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     shared = str(tmp_path_factory.mktemp("shared"))
     session = local_session("tests", 8, **{"spark.checkpoint.dir": shared})
-    ship_package(session)
     yield session
     session.stop()
 

@@ -81,7 +81,7 @@ def test_enrichment_stream_equals_batch(spark):
     cells = C.project_cells(tables.read_cells(spark), ["post_content"])
     assert {r.rowkey: r.post_content for r in cells.collect()} == newest
     failed = {r.rowkey for r in streamed.collect() if r.enrich_status == "failed"}
-    assert {r.rowkey for r in tables.dead_letters.read(spark).collect()} == failed
+    assert {r.rowkey for r in tables.read_dead_letters(spark).collect()} == failed
     rejects = tables.rejects.read(spark)
     assert [r.value for r in rejects.collect()] == ["broken"]
 

@@ -41,13 +41,16 @@ def reply_ok(reply: Column | str) -> Column:
     )
 
 
-def reply_industries(reply: Column | str) -> Column:
-    """Industry ids of a classifier reply: the sorted keys of element 0 of
-    ``data`` (an object, or a string holding one).  NULL unless successful."""
+def industry_keys(reply: Column | str) -> Column:
+    """The sorted keys of element 0 of ``data``, which is an object or a string
+    holding one."""
     first = F.get_json_object(as_column(reply), "$.data[0]")
-    return F.when(
-        reply_ok(reply), F.array_sort(F.array_distinct(F.json_object_keys(first)))
-    )
+    return F.array_sort(F.array_distinct(F.json_object_keys(first)))
+
+
+def reply_industries(reply: Column | str) -> Column:
+    """Industry ids of a classifier reply; NULL unless it is successful."""
+    return F.when(reply_ok(reply), industry_keys(reply))
 
 
 def join_ids(ids: Column | str) -> Column:

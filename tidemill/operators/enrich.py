@@ -10,12 +10,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill import fixed_values as fv
+from tidemill.fixed_values import INDUSTRY_FIELDS, REPLY_SUCCESS
 from tidemill.functions.jsons import (
     in_whitelist,
+    industry_keys,
     join_ids,
     json_strings,
-    reply_industries,
     reply_ok,
 )
 from tidemill.operators.cells import project_cells
@@ -57,13 +57,12 @@ def classify(
     source = posts.repartition(concurrency) if concurrency else posts
     # non-deterministic: the optimizer may neither repeat nor move the call
     scored = source.withColumn("_s", score.asNondeterministic()(F.col(text)))
-    reply = F.col("_s.reply")
-    status = (
-        F.when(F.col("_s.attempts") == 0, "skipped").when(reply_ok(reply), "ok").otherwise("failed")
-    )
-    return scored.select(
+    # the reply is checked in a projection of its own, once
+    checked = scored.withColumn("_ok", reply_ok("_s.reply"))
+    status = F.when(F.col("_s.attempts") == 0, "skipped").when(F.col("_ok"), "ok").otherwise("failed")
+    return checked.select(
         *posts.columns,
-        reply_industries(reply).alias("sub_industry_id"),
+        F.when(F.col("_ok"), industry_keys("_s.reply")).alias("sub_industry_id"),
         F.col("_s.attempts").alias("attempts"),
         status.alias("classify_status"),
     )
@@ -71,7 +70,7 @@ def classify(
 
 def _succeeded(reply: str | None) -> bool:
     try:
-        return json.loads(reply)["msg"] == fv.REPLY_SUCCESS
+        return json.loads(reply)["msg"] == REPLY_SUCCESS
     except (TypeError, ValueError, KeyError):
         return False
 
@@ -260,7 +259,7 @@ def lookup_from_json(
 ) -> DataFrame:
     """Earlier variant: ids come from three fixed JSON fields, and only
     ``parent_id`` is returned, as JSON text beside the key."""
-    ids = messages.select(*key, json_strings(value, fv.INDUSTRY_FIELDS).alias("sub_industry_id"))
+    ids = messages.select(*key, json_strings(value, INDUSTRY_FIELDS).alias("sub_industry_id"))
     found = lookup_parents(ids, dimension, key, **options)
     return found.select(*key, F.to_json(F.struct("parent_id")).alias("value"))
 

@@ -15,7 +15,7 @@ from tidemill.operators.decode import decode_posts
 from tidemill.operators.documents import latest_by
 from tidemill.operators.enrich import classify, lookup_parents, split_failures
 from tidemill.streaming.logs import BatchLog
-from tidemill.streaming.run import Snapshot, fan_out, log_sink, start
+from tidemill.streaming.run import Snapshot, fan_out, start
 
 POSITION = ["topic", "partition", "offset"]
 
@@ -44,12 +44,12 @@ class EnrichmentTables:
 
     base: str
 
-    def log(self, name: str) -> BatchLog:
-        return BatchLog(f"{self.base}/{name}")
+    def log(self, name: str, *partition_by: str) -> BatchLog:
+        return BatchLog(f"{self.base}/{name}", partition_by)
 
     @property
     def results(self) -> BatchLog:
-        return self.log("results")
+        return self.log("results", "enrich_status")
 
     @property
     def cells(self) -> BatchLog:
@@ -59,10 +59,6 @@ class EnrichmentTables:
     def documents(self) -> BatchLog:
         return self.log("documents")
 
-    @property
-    def dead_letters(self) -> BatchLog:
-        return self.log("dead_letters")
-
     @property
     def rejects(self) -> BatchLog:
         return self.log("rejects")
@@ -75,6 +71,10 @@ class EnrichmentTables:
         """The document index: one document per id."""
         return self.documents.latest(spark, ["meta_id"])
 
+    def read_dead_letters(self, spark: SparkSession) -> DataFrame:
+        """Results that failed; other results' files are not read."""
+        return split_failures(self.results.read(spark))[1]
+
 
 def as_documents(results: DataFrame) -> DataFrame:
     """Result rows as documents under their row key, which stays a field."""
@@ -90,30 +90,24 @@ def start_enrichment(
     once: bool = False,
     **options,
 ) -> StreamingQuery:
-    """Run the flow on a message stream.  Each batch is enriched once, written
-    to ``results`` and from there to the cell table, the document index and
-    the dead letters.  Messages that cannot be decoded go to ``rejects``."""
+    """Run the flow on a message stream.  Each batch is enriched once and
+    written to ``results``, failures included; the last result of each row key
+    goes to the document index and the cell table.  Messages that cannot be
+    decoded go to ``rejects``."""
 
     def enrich(batch: DataFrame, batch_id: int) -> DataFrame:
         tables.rejects.write(decode_posts(batch).rejects, batch_id)
         return enrich_messages(batch, dimension.at(batch_id), make_scorer, **options)
 
-    def succeeded(batch: DataFrame) -> DataFrame:
+    def documents(batch: DataFrame, batch_id: int) -> None:
         keyed = split_failures(batch)[0].filter(F.col("rowkey").isNotNull())
-        return as_results(latest_by(keyed, ["rowkey"], F.struct(*POSITION)))
-
-    def cells(batch: DataFrame, batch_id: int) -> DataFrame:
-        return to_cells(succeeded(batch), version=batch_id)
-
-    def documents(batch: DataFrame, batch_id: int) -> DataFrame:
-        return as_documents(succeeded(batch))
+        last = as_results(latest_by(keyed, ["rowkey"], F.struct(*POSITION)))
+        tables.documents.write(as_documents(last), batch_id)
 
-    def failures(batch: DataFrame, batch_id: int) -> DataFrame:
-        return split_failures(batch)[1]
+    def cells(batch: DataFrame, batch_id: int) -> None:
+        # from the documents just written: one row per key already
+        last = tables.documents.read_batch(batch.sparkSession, batch_id).drop("meta_id")
+        tables.cells.write(to_cells(last, version=batch_id), batch_id)
 
-    sinks = [
-        log_sink(tables.cells, cells),
-        log_sink(tables.documents, documents),
-        log_sink(tables.dead_letters, failures),
-    ]
-    return start(messages, fan_out(tables.results, sinks, enrich), checkpoint, once=once)
+    process = fan_out(tables.results, [documents, cells], enrich)
+    return start(messages, process, checkpoint, once=once)

@@ -243,5 +243,5 @@ def enrich_stream_documents(spark, sf):
     + " SELECT rowkey, 'failed' AS enrich_status FROM cleaned WHERE t <> '' AND length(t) % 7 = 0",
 )
 def dead_letters_stream(spark, sf):
-    letters = _run_enrichment(spark, sf).dead_letters.read(spark)
+    letters = _run_enrichment(spark, sf).read_dead_letters(spark)
     return letters.select("rowkey", "enrich_status")

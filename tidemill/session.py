@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import os
+import sys
 import tempfile
 import uuid
-import zipfile
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 
@@ -43,19 +43,8 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers of a session that
-    was started without it."""
-    context = spark.sparkContext
-    if getattr(context, "_tidemill_shipped", False):
-        return
-    root = os.path.dirname(os.path.abspath(__file__))
-    target = os.path.join(tempfile.mkdtemp(prefix="tidemill-package-"), "tidemill.zip")
-    with zipfile.ZipFile(target, "w") as archive:
-        for folder, _, files in os.walk(root):
-            for name in files:
-                if name.endswith(".py"):
-                    path = os.path.join(folder, name)
-                    archive.write(path, os.path.relpath(path, os.path.dirname(root)))
-    context.addPyFile(target)
-    context._tidemill_shipped = True
+def carry_code() -> None:
+    """Send the Python functions of this package to the workers as code, for
+    sessions whose workers do not have the package.  Not needed where it is
+    installed or passed with ``--py-files``."""
+    cloudpickle.register_pickle_by_value(sys.modules["tidemill"])
