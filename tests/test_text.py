@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tests import model
 from tidemill.functions import text as T
-from tidemill.operators.clean import as_posts, as_results, clean_posts
+from tidemill.operators.clean import as_posts, as_results, clean_posts, strip_posts
 
 S = "This sentence is long enough to pass the gate"
 
@@ -68,20 +68,24 @@ def test_random_texts(spark, seed):
     rnd = random.Random(seed)
     texts = ["".join(rnd.choices(FRAGMENTS, k=rnd.randint(1, 30))) for _ in range(3000)]
     assert run(spark, texts, T.clean_post) == [model.clean_post(t) for t in texts]
-    assert run(spark, texts, T.strip_post) == [model.strip_post(t) for t in texts]
+    stripped = [model.strip_post(t) for t in texts]
+    assert run(spark, texts, T.strip_post) == stripped
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    assert [r.t for r in strip_posts(rows, "t").orderBy("i").collect()] == stripped
 
 
 def test_single_pass_equals_arrays(spark):
     rnd = random.Random(7)
     pieces = [".", ",", " ", "\t", "a", "b c", "need etl website", "\x00"]
-    texts = ["".join(rnd.choices(pieces, k=rnd.randint(0, 15))) for _ in range(4000)]
+    texts = ["".join(rnd.choices(pieces, k=rnd.randint(0, 15))) for _ in range(6000)]
 
     def by_arrays(c):
         return T.join_sentences(T.drop_website_sentences(T.split_sentences(c)))
 
-    # a text of dots only has no sentence; the single pass leaves one dot
-    expected = ["." if t and not t.strip(".") else x for t, x in zip(texts, run(spark, texts, by_arrays))]
-    assert run(spark, texts, T.tidy_sentences) == expected
+    def by_passes(c):
+        return T.tidy_sentences(T.remove_marked_sentences(T.drop_end_dots(c)))
+
+    assert run(spark, texts, by_passes) == [x[:-1] for x in run(spark, texts, by_arrays)]
 
 
 def test_split_keeps_inner_and_drops_trailing_empties(spark):

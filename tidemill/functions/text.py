@@ -59,18 +59,15 @@ NOISE_PATTERN_BASIC = _token_pattern((*fv.NOISE_TOKENS, fv.WEBSITE_BASIC))
 SYMBOL_PATTERN = _symbol_pattern(fv.CJK_IDEOGRAPHS, fv.ZERO_WIDTH_JOINER, fv.EMOJI_PLAIN)
 EMOJI_PATTERN = _symbol_pattern(fv.EMOJI_PLAIN)
 
-# Blank and comma tidying of a text whose every sentence ends in a dot, in one
-# pass.  Only the comma group survives a match.
+# Blank and comma tidying in one pass.  Only the comma group survives a match.
 TIDY_PATTERN = (
     rf"(?=[{_BLANK},])(?:"
     rf"{_SENTENCE_START}[{_BLANK},]++"  # nothing before the first word
-    rf"|(?<![{_BLANK}])(?:"
-    rf"[{_BLANK}]*+(,)[{_BLANK},]*+"  # one bare comma between words
-    rf"|[{_BLANK}]++(?=\.)))"  # nothing before the dot
-)
-TIDY_AND_DROP_PATTERN = (
-    rf"{_SENTENCE_START}[^.]*?{fv.WEBSITE_MARK}[^.]*+\.|{TIDY_PATTERN}"  # marked sentence
+    rf"|(?<![{_BLANK}])[{_BLANK}]*+(?:"
+    rf"(,)[{_BLANK},]*+"  # one bare comma between words
+    rf"|(?=\.|\z)))"  # nothing before the dot
 )
+MARKED_SENTENCE_PATTERN = rf"{_SENTENCE_START}[^.]*?{fv.WEBSITE_MARK}[^.]*+\."
 
 
 # -- single steps ----------------------------------------------------------
@@ -131,15 +128,28 @@ def join_sentences(sentences: Column | str) -> Column:
     return F.array_join(F.transform(as_column(sentences), tidy), "")
 
 
-def close_last_sentence(c: Column | str) -> Column:
-    """Exactly one dot behind the last sentence."""
-    return F.concat(F.rtrim(as_column(c), F.lit(".")), F.lit("."))
+def drop_end_dots(c: Column | str) -> Column:
+    return F.rtrim(as_column(c), F.lit("."))
+
+
+def remove_marked_sentences(c: Column | str) -> Column:
+    """Delete the sentences that hold the website mark; the text has no dot at
+    its end and gets none.  Few texts are marked, and looking for the mark
+    costs far less than going through the sentences."""
+    text = as_column(c)
+    closed = F.concat(text, F.lit("."))
+    kept = F.regexp_replace(F.regexp_replace(closed, MARKED_SENTENCE_PATTERN, ""), r"\.\z", "")
+    return F.when(F.contains(text, F.lit(fv.WEBSITE_MARK)), kept).otherwise(text)
 
 
 def tidy_sentences(c: Column | str) -> Column:
-    """``join_sentences(drop_website_sentences(split_sentences(c)))`` as one
-    pass over the text, without arrays."""
-    return F.regexp_replace(close_last_sentence(c), TIDY_AND_DROP_PATTERN, "$1")
+    """Trim the sentences and their comma parts and drop empty parts.
+
+    After :func:`drop_end_dots` and :func:`remove_marked_sentences` this is
+    ``join_sentences(drop_website_sentences(split_sentences(c)))`` without the
+    final dot, and without arrays.
+    """
+    return F.regexp_replace(as_column(c), TIDY_PATTERN, "$1")
 
 
 def remove_unicode_escapes(c: Column | str) -> Column:
@@ -166,25 +176,49 @@ def length_gate(c: Column | str) -> Column:
 # -- profiles --------------------------------------------------------------
 
 
-def strip_post(c: Column | str) -> Column:
-    """All cleaning steps of the full profile before the length gate."""
-    text = remove_replacement_chars(mark_websites(remove_symbols(remove_noise(c))))
-    # the closing dot goes together with the escapes: one pass less
-    text = F.regexp_replace(tidy_sentences(text), rf"\.\z|{fv.UNICODE_ESCAPE}", "")
-    return collapse_spaces(text)
-
-
-def strip_post_basic(c: Column | str) -> Column:
-    """The older profile: websites are deleted, ideographs, emoji and escapes
-    stay, and so does the final dot."""
-    text = collapse_spaces(F.regexp_replace(as_column(c), NOISE_PATTERN_BASIC, ""))
-    return F.regexp_replace(close_last_sentence(text), TIDY_PATTERN, "$1")
-
-
-PROFILES = {"full": strip_post, "basic": strip_post_basic}
+def _holds(part: str):
+    return lambda text: F.contains(text, F.lit(part))
+
+
+def _not_ascii(text: Column) -> Column:
+    return F.octet_length(text) != F.length(text)
+
+
+# The steps before the length gate, in order.  A step may have a test that is
+# false for texts it cannot change and much cheaper than the step.
+STEPS = {
+    "full": (
+        (remove_noise, None),
+        (remove_symbols, _not_ascii),
+        (mark_websites, _holds("www")),
+        (remove_replacement_chars, None),
+        (drop_end_dots, None),
+        (remove_marked_sentences, None),
+        (tidy_sentences, None),
+        (remove_unicode_escapes, _holds("\\u")),
+        (collapse_spaces, _holds("  ")),
+    ),
+    # the older profile: websites are deleted, ideographs, emoji and escapes
+    # stay, and so does the final dot
+    "basic": (
+        (lambda c: F.regexp_replace(as_column(c), NOISE_PATTERN_BASIC, ""), None),
+        (collapse_spaces, _holds("  ")),
+        (drop_end_dots, None),
+        (tidy_sentences, None),
+        (lambda c: F.concat(as_column(c), F.lit(".")), None),
+    ),
+}
+
+
+def strip_post(c: Column | str, profile: str = "full") -> Column:
+    """All cleaning steps before the length gate, as one expression."""
+    text = as_column(c)
+    for step, _ in STEPS[profile]:
+        text = step(text)
+    return text
 
 
 def clean_post(c: Column | str, profile: str = "full") -> Column:
     """The whole cleaning chain.  NULL stays NULL; a text that is too short or
     too long after cleaning becomes the empty string."""
-    return length_gate(PROFILES[profile](c))
+    return length_gate(strip_post(c, profile))

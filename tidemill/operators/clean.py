@@ -10,20 +10,31 @@ from tidemill.functions import text as T
 from tidemill.operators.evaluate import filter_computed
 
 
+def strip_posts(df: DataFrame, column: str = "post_content", profile: str = "full") -> DataFrame:
+    """All cleaning steps before the length gate, on ``column`` in place.
+
+    A step with a test runs only on texts it may change.  Such a step reads its
+    input several times, so it is a projection of its own: the optimizer keeps
+    it apart and computes the input once, still within one generated stage.
+    """
+    text = F.col(column)
+    for step, may_change in T.STEPS[profile]:
+        changed = step(text)
+        if may_change is not None:
+            changed = F.when(may_change(text), changed).otherwise(text)
+        df = df.withColumn(column, changed)
+    return df
+
+
 def clean_posts(
     df: DataFrame,
     column: str = "post_content",
     profile: str = "full",
     keep_empty: bool = False,
 ) -> DataFrame:
-    """Clean ``column`` in place and drop rows left empty (NULL included).
-
-    The stripped text is read four times by the length gate; as its own
-    projection it is computed once per row.
-    """
+    """Clean ``column`` in place and drop rows left empty (NULL included)."""
     source = df if keep_empty else df.filter(F.col(column).isNotNull())
-    stripped = source.withColumn(column, T.PROFILES[profile](F.col(column)))
-    gated = stripped.withColumn(column, T.length_gate(column))
+    gated = strip_posts(source, column, profile).withColumn(column, T.length_gate(column))
     return gated if keep_empty else filter_computed(gated, F.col(column) != "")
 
 

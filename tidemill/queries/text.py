@@ -45,7 +45,8 @@ def clean_keep_empty(spark, sf):
 @query("strip_documents", S.strip_chain(DOCS) + " SELECT doc_id, t AS stripped FROM stripped")
 def strip_documents(spark, sf):
     """Every step but the length gate, so that long texts are compared too."""
-    return inputs.documents(spark, sf).select("doc_id", T.strip_post("t").alias("stripped"))
+    docs = inputs.documents(spark, sf).select("doc_id", F.col("t").alias("stripped"))
+    return clean.strip_posts(docs, "stripped")
 
 
 @query(
