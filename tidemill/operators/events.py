@@ -38,40 +38,49 @@ def flag_late(
     that one key holding most of the records is still spread over many tasks:
     each block of arrival numbers is summarised by its maximum, the few block
     rows are scanned in order, and records are only compared inside their own
-    block.  ``carry`` holds the greatest event time per key (``keys``,
+    block, of at most ``block_rows`` records.  ``carry`` holds the greatest event time per key (``keys``,
     ``high_ms``) of earlier input, as returned by :func:`high_event_times`.
     """
     keys = list(keys or [])
-    # NULL keys are a key of their own, so the join works on their JSON text
-    as_key = F.to_json(F.struct(*keys)) if keys else F.lit("")
+    # NULL is a key of its own: as an empty text and a flag it can be joined
+    joinable = {
+        **{f"_k{i}": F.coalesce(F.col(k).cast("string"), F.lit("")) for i, k in enumerate(keys)},
+        **{f"_n{i}": F.col(k).isNull() for i, k in enumerate(keys)},
+    } or {"_k0": F.lit("")}
+    by_key, by_block = [*joinable], ["_block", *joinable]
     block = F.col(arrival) - F.pmod(F.col(arrival), F.lit(block_rows))
-    rows = df.withColumn("_key", as_key).withColumn("_block", block)
+    rows = df.withColumns({"_block": block, **joinable})
 
     earlier_blocks = (
-        Window.partitionBy("_key").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*by_key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     )
     before = (
-        rows.groupBy("_key", "_block")
+        rows.groupBy(*by_block)
         .agg(F.max(event_ms).alias("_max"))
         .withColumn("_before", F.max("_max").over(earlier_blocks))
-        .select("_key", "_block", "_before")
+        .drop("_max")
     )
     if carry is not None:
-        carried = carry.select(as_key.alias("_key"), F.col("high_ms").alias("_carry"))
-        before = before.join(carried, "_key", "left").select(
-            "_key", "_block", F.greatest("_before", "_carry").alias("_before")
+        carried = carry.withColumns(joinable).select(*by_key, F.col("high_ms").alias("_carry"))
+        before = before.join(carried, by_key, "left").select(
+            *by_block, F.greatest("_before", "_carry").alias("_before")
         )
 
+    # the maximum of the earlier blocks enters its block as a first record,
+    # which saves joining it to the records
+    first = before.filter(F.col("_before").isNotNull()).withColumn("_first", F.lit(True))
+    records = rows.withColumn("_first", F.lit(False)).unionByName(
+        first.withColumnRenamed("_before", event_ms), allowMissingColumns=True
+    )
     earlier_rows = (
-        Window.partitionBy("_key", "_block")
-        .orderBy(arrival)
+        Window.partitionBy(*by_block)
+        .orderBy(F.col("_first").desc(), arrival)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    high = F.greatest(F.col("_before"), F.max(event_ms).over(earlier_rows))
+    late = F.col(event_ms) <= F.max(event_ms).over(earlier_rows) - delay_ms
     return (
-        rows.join(before, ["_key", "_block"], "left")
-        .withColumn("_high", high)
-        .withColumn("late", F.coalesce(F.col(event_ms) <= F.col("_high") - delay_ms, F.lit(False)))
+        records.withColumn("late", F.coalesce(late, F.lit(False)))
+        .filter(~F.col("_first"))
         .select(*df.columns, "late")
     )
 
