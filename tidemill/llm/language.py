@@ -230,6 +230,20 @@ def predict_language(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
     return rows.mapInArrow(batches, "doc_id long, lang_pred string, score double")
 
 
+def recognised(docs: DataFrame, model: LanguageModel | None, least: float) -> DataFrame:
+    """The rows of ``docs``, all columns, whose language is found with a score of at least ``least``."""
+    if model is None:
+        return docs.limit(0)
+    letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+
+    def batches(stream):
+        for batch in stream:
+            for own, data, offsets in text_slices(batch):
+                yield own.filter(pa.array(model.documents(data, offsets).max(axis=1) >= least))
+
+    return docs.where(letter).mapInArrow(batches, docs.schema)
+
+
 def held_out(doc_id="doc_id"):
     """Rows that the learning leaves out."""
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
