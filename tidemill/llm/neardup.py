@@ -8,8 +8,10 @@ weighted Jaccard similarity as probability.  Equal bands of four registers make
 overlap confirms at 0.8 or more.
 
 No pairs of a whole bucket are made.  Every member of a bucket is compared with the bucket's first member (in one of four
-orders, by band), and links join components.  A bucket that still holds several components is finished exactly: all
-members outside its largest component are compared with all others of it, in blocks of bounded size.  Equal texts are one
+orders, by band), and links join components.  In a bucket that still holds several components, members outside the
+largest one are compared with one member of that, which differs from band to band.  What is open then is finished
+exactly: all members outside a bucket's largest component are compared with all others of it, in blocks of bounded size
+that return links only.  Equal texts are one
 node, so copies cost one row each.
 
 Cases: equal texts are always of one class, empty ones too; a null text is a class of its own for each row; texts without
@@ -35,8 +37,6 @@ WIDTH, SIMILAR = 5, 0.8
 LEAST_EQUAL = 48
 ORDERS = (0, 0x5A3C96E7, 0x2B51_0000_3C0F, 0x7D00_1F35_0000)
 BLOCK, CHUNK = 256, 4096
-#: Buckets of so few members are compared by a plain join.
-SMALL = 16
 #: Ids of a size up to this are broadcast; more are joined by a shuffle.
 BROADCAST_BYTES = 32 << 20
 
@@ -153,7 +153,7 @@ def _bands(nodes: DataFrame) -> DataFrame:
                 found = band_hashes(np.asarray(batch.column("sig").flatten()).reshape(-1, REGISTERS))
                 node = np.repeat(np.asarray(batch.column("node")), BANDS)
                 slot = np.tile(np.arange(BANDS, dtype=np.int64), batch.num_rows)
-                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(slot % len(ORDERS)), pa.array(found.ravel())], ["node", "slot", "band"])
+                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(slot), pa.array(found.ravel())], ["node", "slot", "band"])
 
     return nodes.where("n > 0").select("node", "sig").mapInArrow(batches, "node long, slot long, band long")
 
@@ -178,72 +178,104 @@ def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return near.select("a", "b", "sa", "sb").mapInArrow(batches, "a long, b long")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs whose multisets of shingles overlap by SIMILAR or more: the minima's sum over the maxima's."""
-    wanted = staged(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct().join(nodes.select("node", "row"), "node"), "near-wanted")
+def _bags(wanted: DataFrame, docs: DataFrame) -> DataFrame:
+    """``node, units`` of the wanted nodes (``node, row``), from their whole texts."""
     few = wanted.count() * 16 <= BROADCAST_BYTES
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "text")
 
     def listed(stream):
         for batch in stream:
             for own, data, offsets in text_slices(batch, limit=2 << 20):
-                yield pa.RecordBatch.from_arrays([own.column("node"), _lists(*units(*shingles(data, offsets)), own.num_rows)], ["node", "units"])
+                of, found = units(*shingles(data, offsets))
+                order = np.lexsort((found, of))
+                yield pa.RecordBatch.from_arrays([own.column("node"), _lists(of, found[order], own.num_rows)], ["node", "units"])
 
-    bags = staged(rows.join(F.broadcast(wanted) if few else wanted, "row").select("node", "text").mapInArrow(listed, "node long, units array<int>"), "near-bags")
+    return rows.join(F.broadcast(wanted) if few else wanted, "row").select("node", "text").mapInArrow(listed, "node long, units array<int>")
+
+
+def _overlap(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sorted bags overlap enough: the sum of minima over the sum of maxima, counted in units."""
+    both = np.concatenate([x, y])
+    both.sort()
+    same = int((both[1:] == both[:-1]).sum())
+    return same >= SIMILAR * (len(x) + len(y) - same)
+
+
+def _confirmed(pairs: DataFrame, bags: DataFrame) -> DataFrame:
+    """Pairs whose multisets of shingles overlap by SIMILAR or more."""
 
     def overlap(stream):
         for batch in stream:
-            good = []
             sides = [(np.asarray(c.flatten()), np.concatenate([[0], np.cumsum(np.asarray(c.value_lengths()))])) for c in (batch.column("ua"), batch.column("ub"))]
             (x, at), (y, bt) = sides
-            for k in range(batch.num_rows):
-                p, q = x[at[k] : at[k + 1]], y[bt[k] : bt[k + 1]]
-                both = len(np.intersect1d(p, q))
-                if both >= SIMILAR * (len(p) + len(q) - both):
-                    good.append(k)
+            good = [k for k in range(batch.num_rows) if _overlap(x[at[k] : at[k + 1]], y[bt[k] : bt[k + 1]])]
             yield batch.select(["a", "b"]).take(pa.array(good, pa.int64()))
 
     left, right = bags.select(F.col("node").alias("a"), F.col("units").alias("ua")), bags.select(F.col("node").alias("b"), F.col("units").alias("ub"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ua", "ub").mapInArrow(overlap, "a long, b long")
 
 
-def _unfinished(shared: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Likely pairs of different components that share a bucket, compared in blocks.
-
-    ``shared`` is ``band, node``.  Members outside the largest component of a bucket meet all its other members.
-    """
-    members = shared.join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
+def _unfinished(shared: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members ``band, slot, node, root`` of the buckets with several components, and those buckets with their largest one."""
+    members = shared.join(roots, "node", "left").select("band", "slot", "node", F.coalesce("root", "node").alias("root"))
     sizes = members.groupBy("band", "root").agg(F.count("*").alias("size"))
     total = sizes.groupBy("band").agg(F.max_by("root", F.struct("size", "root")).alias("large"), F.sum("size").alias("members"), F.max("size").alias("most"), F.count("*").alias("roots"))
-    open_bands = total.where("roots > 1").select(
-        "band", "large", "members", F.ceil((F.col("members") - F.col("most")) / BLOCK).alias("blocks"), F.ceil(F.col("members") / CHUNK).alias("chunks")
-    )
-    rows = members.join(open_bands, "band").withColumn("draw", F.xxhash64("node"))
-    small, large = rows.where(F.col("members") <= SMALL), rows.where(F.col("members") > SMALL)
-    other = small.select("band", F.col("node").alias("b"), F.col("root").alias("other"))
-    few = small.select("band", F.col("node").alias("a"), "root").join(other, "band").where("a < b and root != other").select("a", "b").distinct()
+    buckets = total.where("roots > 1").select("band", "large", "members", (F.col("members") - F.col("most")).alias("strays"))
+    return members.join(buckets.select("band", "large"), "band"), buckets
+
+
+def _second_stars(members: DataFrame) -> DataFrame:
+    """Each stray with one member of the largest component of its bucket; every bucket takes another order of the nodes."""
+    order = F.col("band").bitwiseAND(F.lit((1 << 62) - 1))
+    heads = members.where("root = large").groupBy("band").agg(F.min(F.col("node").bitwiseXOR(order)).alias("head"))
+    pairs = members.where("root != large").join(heads, "band").withColumn("head", F.col("head").bitwiseXOR(order))
+    return pairs.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
+
+
+def _last_links(members: DataFrame, buckets: DataFrame, nodes: DataFrame, bags: DataFrame) -> DataFrame:
+    """Links between different components that share a bucket: every stray against every member, in blocks.
+
+    A pair that shares several bands is looked at in the first of them only.  Of a stray's links to one component, a block
+    returns one; it connects all the same.
+    """
+    size = buckets.select("band", F.ceil(F.col("strays") / BLOCK).alias("blocks"), F.ceil(F.col("members") / CHUNK).alias("chunks"))
+    rows = members.join(size, "band").withColumn("draw", F.xxhash64("node"))
     every = lambda count: F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
     sides = [
-        large.where("root != large").select("band", F.pmod("draw", "blocks").alias("block"), every("chunks").alias("chunk"), "node", "root", F.lit(True).alias("stray")),
-        large.select("band", every("blocks").alias("block"), F.pmod("draw", "chunks").alias("chunk"), "node", "root", F.lit(False).alias("stray")),
+        rows.where("root != large").select("band", "slot", F.pmod("draw", "blocks").alias("block"), every("chunks").alias("chunk"), "node", "root", F.lit(True).alias("stray")),
+        rows.select("band", "slot", every("blocks").alias("block"), F.pmod("draw", "chunks").alias("chunk"), "node", "root", F.lit(False).alias("stray")),
     ]
-    meet = sides[0].union(sides[1]).join(nodes.select("node", "sig", "n"), "node")
-    many = meet.groupBy("band", "block", "chunk").applyInPandas(_compared, "a long, b long").distinct()
-    return _likely(few, nodes).union(many).distinct()
-
-
-def _compared(frame: pd.DataFrame) -> pd.DataFrame:
-    """Likely pairs of the strays of one block with the members of one chunk."""
-    left, right = frame[frame["stray"]], frame[~frame["stray"]]
-    found = [np.empty((0, 2), np.int64)]
-    if len(left) and len(right):
-        x, y = np.stack(left["sig"].to_numpy()), np.stack(right["sig"].to_numpy())
-        a, b, ra, rb, na, nb = (side[c].to_numpy() for c in ("node", "root", "n") for side in (left, right))
-        for k in range(len(a)):
-            able = np.flatnonzero((rb != ra[k]) & (np.minimum(nb, na[k]) >= SIMILAR * np.maximum(nb, na[k])))
-            able = able[_equal_registers(y[able], x[k]) >= LEAST_EQUAL]
-            found.append(np.stack([np.minimum(a[k], b[able]), np.maximum(a[k], b[able])], axis=1))
-    return pd.DataFrame(np.concatenate(found), columns=["a", "b"])
+    meet = staged(sides[0].union(sides[1]), "near-meet")
+    groups = max(1, -(-meet.count() // CHUNK))  # many small buckets share a group
+    full = meet.join(nodes.select("node", "sig", "n"), "node").join(bags, "node").withColumn("group", F.pmod(F.xxhash64("band", "block", "chunk"), F.lit(groups)))
+    return full.groupBy("group").applyInPandas(_linked, "a long, b long")
+
+
+def _linked(frame: pd.DataFrame) -> pd.DataFrame:
+    """Links of the strays with the members, bucket by bucket."""
+    frame = frame.sort_values(["band", "block", "chunk", "stray"])
+    key = frame[["band", "block", "chunk"]].to_numpy()
+    cuts = np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1, [len(frame)]])
+    stray, slot, node, root, n = (frame[c].to_numpy() for c in ("stray", "slot", "node", "root", "n"))
+    sig, bag, found = np.stack(frame["sig"].to_numpy()), frame["units"].to_numpy(), []
+    for low, high in zip(cuts[:-1], cuts[1:]):
+        middle = low + int((~stray[low:high]).sum())
+        y = sig[low:middle]
+        for k in range(middle, high):
+            able = np.flatnonzero((root[low:middle] != root[k]) & (np.minimum(n[low:middle], n[k]) >= SIMILAR * np.maximum(n[low:middle], n[k])))
+            if not len(able):
+                continue
+            same = y[able] == sig[k]
+            first = same.reshape(len(able), BANDS, ROWS).all(axis=2).argmax(axis=1) == slot[k]
+            likely = same.sum(axis=1)
+            order = np.argsort(-likely, kind="stable")
+            done = set()
+            for m in order[(first & (likely >= LEAST_EQUAL))[order]]:
+                other = low + able[m]
+                if root[other] not in done and _overlap(bag[k], bag[other]):
+                    done.add(root[other])
+                    found.append((min(node[k], node[other]), max(node[k], node[other])))
+    return pd.DataFrame(np.array(found, np.int64).reshape(-1, 2), columns=["a", "b"])
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -253,16 +285,20 @@ def classes(docs: DataFrame) -> DataFrame:
     firsts = keyed.groupBy("key").agg(F.min("row").alias("row"), F.min("doc_id").alias("least"))
     nodes = staged(firsts.join(signed.select("row", "n", "sig"), "row").select("key", F.col("row").alias("node"), "row", "least", "n", "sig"), "near-nodes")
     bands = staged(_bands(nodes), "near-bands")
-    order = F.element_at(F.array(*[F.lit(o).cast("long") for o in ORDERS]), (F.col("slot") + 1).cast("int"))
+    order = F.element_at(F.array(*[F.lit(o).cast("long") for o in ORDERS]), (F.col("slot") % len(ORDERS) + 1).cast("int"))
     buckets = bands.groupBy("band", "slot").agg(F.min(F.col("node").bitwiseXOR(order)).alias("first"), F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    shared = staged(bands.select("band", "node").join(buckets.select("band", F.col("first").bitwiseXOR(order).alias("first")), "band"), "near-shared")
+    shared = staged(bands.join(buckets.select("band", F.col("first").bitwiseXOR(order).alias("first")), "band").select("band", "slot", "node", "first"), "near-shared")
+    bags = staged(_bags(staged(shared.select("node").distinct().select("node", F.col("node").alias("row")), "near-wanted"), docs), "near-bags")
     stars = shared.where("node != first").select(F.least("node", "first").alias("a"), F.greatest("node", "first").alias("b")).distinct()
-    links = staged(_confirmed(staged(_likely(stars, nodes), "near-likely"), docs, nodes), "near-links")
-    roots = components(links)
-    more = staged(_unfinished(shared.select("band", "node"), nodes, roots), "near-more")
-    if more.limit(1).count():
-        extra = staged(_confirmed(more, docs, nodes), "near-links")
-        roots = components(links.union(extra))
+    roots = components(_confirmed(_likely(stars, nodes), bags))
+    for finish in (False, True):
+        members, open_buckets = (staged(x, "near-open") for x in _unfinished(shared, roots))
+        if open_buckets.limit(1).count() == 0:
+            break
+        links = _last_links(members, open_buckets, nodes, bags) if finish else _confirmed(_likely(_second_stars(members), nodes), bags)
+        links = staged(links, "near-links")
+        if links.limit(1).count():
+            roots = components(links.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
     linked = nodes.select("node", "key", "least").join(roots, "node", "left").select("key", "least", F.coalesce("root", "node").alias("root"))
     smallest = linked.groupBy("root").agg(F.min("least").alias("class_id"))
     found = staged(linked.join(smallest, "root").select("key", "class_id", F.col("root").alias("label")), "near-classes")
