@@ -160,3 +160,23 @@ def test_client_with_close(spark):
 def test_whitelist_filter(spark):
     posts, _ = frames(spark)
     assert sorted(r.k for r in E.keep_whitelisted(posts).collect()) == [1, 5, 6]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("strategy", ["inline", "join", "auto", "reduced"])
+def test_equal_and_null_keys_are_posts_of_their_own(spark, monkeypatch, strategy, ansi):
+    posts = spark.createDataFrame(
+        [("r1", ["a"]), ("r1", ["b"]), (None, ["a"]), ("r2", None), ("r2", ["z"])], "rowkey string, sub_industry_id array<string>"
+    )
+    rows = [("a", "P"), ("b", "Q"), *[(f"x{k}", "R") for k in range(8)]]
+    entries = spark.createDataFrame(rows, "id string, parent_id string")
+    if strategy == "reduced":
+        monkeypatch.setattr(E, "MAX_INLINE_ENTRIES", 5)
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        found = E.lookup_parents(posts, entries, strategy="auto" if strategy == "reduced" else strategy)
+        got = sorted((r.rowkey or "", r.parent_id, r.enrich_status) for r in found.collect())
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    assert got == [("", "P", "ok"), ("r1", "P", "ok"), ("r1", "Q", "ok"), ("r2", "", "ok"), ("r2", "", "unmatched")]

@@ -246,7 +246,7 @@ def test_kafka_options():
         "kafka.bootstrap.servers": "h1:9092,h2:9092", "subscribe": "a,b", "startingOffsets": "earliest",
     }
     assert Start.latest().options == {"startingOffsets": "latest"}
-    assert Start.timestamp(5).options == {"startingTimestamp": "5"}
+    assert Start.timestamp(5).options == {"startingTimestamp": "5", "startingOffsetsByTimestampStrategy": "latest"}
     assert json.loads(Start.offsets({"t": {0: 5, 1: 7}}).options["startingOffsets"]) == {"t": {"0": 5, "1": 7}}
 
 
@@ -255,3 +255,25 @@ def test_streams_need_event_time_with_zone(spark):
     stream = file_stream(spark, path, "ts timestamp_ntz")
     timed = W.with_watermark(W.with_event_time(stream, "ts", "timestamp"))
     assert dict(timed.dtypes)["event_time"] == "timestamp"
+
+
+def test_a_batch_without_rows_does_not_end_the_stream(spark, tmp_path):
+    from tidemill.streaming.logs import BatchLog, refuse_stale
+    from tidemill.streaming.run import fan_out, log_sink
+
+    stage, out = BatchLog(f"{tmp_path}/stage", ("k",)), BatchLog(f"{tmp_path}/out")
+    process = fan_out(stage, [log_sink(out)], lambda batch, n: batch.filter("v > 0"))
+    for n, v in enumerate([1, -1, 2]):
+        process(spark.createDataFrame([(v, "a")], "v int, k string"), n)
+    assert sorted(r.v for r in out.read(spark).collect()) == [1, 2]
+    with pytest.raises(ValueError):
+        refuse_stale(spark, f"{tmp_path}/new", [stage])
+
+
+def test_late_split_goes_on_after_an_empty_batch(spark, tmp_path):
+    from tidemill.streaming.late import LateSplit
+
+    split = LateSplit(f"{tmp_path}/late", "ms", "n", delay_ms=10)
+    for k, rows in enumerate([[(1, 100)], [], [(2, 50), (3, 200)]]):
+        split(spark.createDataFrame(rows, "n long, ms long"), k)
+    assert [r.n for r in split.read(spark, "late").collect()] == [2]

@@ -16,6 +16,7 @@ def sizes(request, monkeypatch):
     """Both ways of every operator that measures a side before broadcasting."""
     if request.param == "shuffle":
         monkeypatch.setattr(evaluate, "MAX_BROADCAST_ROWS", 0)
+        monkeypatch.setattr(evaluate, "MAX_BROADCAST_BYTES", 0)
     return request.param
 
 

@@ -131,3 +131,32 @@ def test_projections(spark):
     assert (row.rowkey, row.post_content, row.media) == ("1", "t", None)
     full = posts.withColumn("sub_industry_id", F.lit("1")).withColumn("parent_id", F.lit("2"))
     assert as_results(full.withColumn("x", F.lit(0))).columns[-2:] == ["sub_industry_id", "parent_id"]
+
+
+def test_many_websites_equal_the_plain_pattern(spark):
+    import random
+
+    from tidemill import fixed_values as fv
+    from tidemill.functions import text as X
+
+    draw = random.Random(4)
+    parts = ["www", "www.", ".com", ".cn", "a", " ", "\n", ".", "w", "ww", "x.y"]
+    rows = [("".join(draw.choices(parts, k=draw.randint(1, 40))),) for _ in range(20_000)]
+    frame = spark.createDataFrame(rows, "t string")
+    before, X._MANY_WWW = X._MANY_WWW, 0
+    try:
+        found = frame.select(X.mark_websites("t").alias("a"), F.regexp_replace("t", fv.WEBSITE, fv.WEBSITE_MARK).alias("b"))
+        assert found.filter("not a <=> b").count() == 0
+    finally:
+        X._MANY_WWW = before
+
+
+def test_a_long_run_of_www_is_linear(spark):
+    import time
+
+    from tidemill.functions import text as X
+
+    frame = spark.range(1).select(F.repeat(F.lit("www"), 350_000).alias("t"))
+    began = time.perf_counter()
+    assert frame.select(X.mark_websites("t").alias("a")).filter("length(a) = 1050000").count() == 1
+    assert time.perf_counter() - began < 20

@@ -90,7 +90,31 @@ def remove_emoji(c: Column | str) -> Column:
 
 def mark_websites(c: Column | str) -> Column:
     """Replace ``www….com`` / ``www….com.cn`` by the website mark."""
-    return F.regexp_replace(as_column(c), fv.WEBSITE, fv.WEBSITE_MARK)
+    return _replace_websites(as_column(c), fv.WEBSITE, fv.WEBSITE_MARK)
+
+
+# Texts with more ``www`` than this take the linear way.
+_MANY_WWW = 16
+_OPEN, _CLOSE = "\ue000", "\ue001"
+
+
+def _replace_websites(text: Column, pattern: str, mark: str) -> Column:
+    """``regexp_replace`` of a website pattern in linear time.
+
+    The pattern fails at a ``www`` only after the rest of its run of non-blanks
+    has been read, and would read it again from each further ``www``.  So a
+    failing run is consumed once, as a match of its own between two private
+    characters, up to a ``www`` at its end, which may belong to the next run.
+    Texts with few ``www``, or with those characters, take the plain pattern.
+    """
+    plain = F.regexp_replace(text, pattern, mark)
+    failing = r"w(?=ww)(?:(?!www\s)\S)*+"
+    found = F.regexp_replace(text, f"{pattern}|({failing})", f"{_OPEN}$1{_CLOSE}")
+    marked = F.replace(found, F.lit(_OPEN + _CLOSE), F.lit(mark))
+    linear = F.translate(marked, _OPEN + _CLOSE, "")
+    many = (F.char_length(text) - F.char_length(F.replace(text, F.lit("www"), F.lit("")))) > 3 * _MANY_WWW
+    private = F.contains(text, F.lit(_OPEN)) | F.contains(text, F.lit(_CLOSE))
+    return F.when(many & ~private, linear).otherwise(plain)
 
 
 def remove_replacement_chars(c: Column | str) -> Column:

@@ -15,7 +15,7 @@ from tidemill.functions.codec import DECODERS, ENCODERS
 from tidemill.functions.keys import row_key
 from tidemill.operators.decode import decode_timed_records
 from tidemill.operators.documents import latest_by
-from tidemill.operators.evaluate import is_small
+from tidemill.operators.evaluate import sized
 
 CELL_KEY = ("rowkey", "family", "qualifier")
 
@@ -69,9 +69,9 @@ def get_rows(cells: DataFrame, keys: DataFrame, family: str | None = None) -> Da
     reduced first, so that a row with very many of them is small when all its
     cells meet in one task.
     """
-    wanted = keys.select("rowkey").distinct()
+    keys, few = sized(keys.select("rowkey"))
+    wanted = keys.distinct()
     scope = cells if family is None else cells.filter(F.col("family") == family)
-    few = is_small(keys.select("rowkey"))
     if few:
         scope = scope.join(F.broadcast(wanted), "rowkey", "left_semi")
     newest = scope.groupBy("rowkey", "qualifier").agg(

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.operators.evaluate import is_small
+from tidemill.operators.evaluate import sized
 
 METADATA = {"meta_index": "_index", "meta_id": "_id", "meta_score": "_score"}
 
@@ -59,10 +59,11 @@ def upsert(current: DataFrame, delta: DataFrame, key: list[str], order: Column)
     A small delta is broadcast, and then the current table is scanned without
     a shuffle; otherwise both sides are shuffled on the id.
     """
+    delta, few = sized(delta)
     fresh = latest_by(delta, key, order).select(*current.columns)
     replaced = fresh.select(*key)
-    # fresh has no more rows than the delta, which is cheaper to measure
-    if is_small(delta.select(*key)):
+    # fresh has no more rows than the delta
+    if few:
         replaced = F.broadcast(replaced)
     return current.join(replaced, key, "left_anti").select(*current.columns).unionByName(fresh)
 
@@ -81,6 +82,7 @@ def merge_supplied(current: DataFrame, delta: DataFrame, key: list[str]) -> Data
     an outer join that broadcasts the delta, plus the new keys: the current
     table is scanned twice (the second time only its key) and not shuffled.
     """
+    delta, few = sized(delta)
     supplied = [c for c in delta.columns if c not in key]
     changes = delta.select(*key, F.struct(*supplied).alias("_d"))
 
@@ -95,10 +97,10 @@ def merge_supplied(current: DataFrame, delta: DataFrame, key: list[str]) -> Data
                 columns.append(F.when(F.col("_d").isNotNull(), F.col("_d")[c]).otherwise(F.col(c)).alias(c))
         return joined.select(*columns)
 
-    if not is_small(delta):
+    if not few:
         return merged(current.join(changes, key, "full_outer"))
     updated = merged(current.join(F.broadcast(changes), key, "left"))
     known = current.select(*key).join(F.broadcast(delta.select(*key)), key, "left_semi")
-    # no more known keys than delta rows
-    added = delta.join(F.broadcast(known), key, "left_anti")
+    # as many known keys as the current table has rows for them: Spark measures
+    added = delta.join(known, key, "left_anti")
     return updated.unionByName(added, allowMissingColumns=True)

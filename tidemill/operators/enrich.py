@@ -122,46 +122,57 @@ def measure(dimension: DataFrame) -> tuple[int, int]:
 def lookup_parents(
     posts: DataFrame,
     dimension: DataFrame,
-    key: list[str],
+    key: list[str] | None = None,
     ids: str = "sub_industry_id",
     strategy: str = "auto",
-    salt: int = 8,
     stage: bool = False,
 ) -> DataFrame:
     """Replace the id array by a sorted comma string and add ``parent_id``
     (the distinct parents of all ids, sorted, comma-joined) and
-    ``enrich_status``.  Every post is kept; ids without a match add nothing.
+    ``enrich_status``.  Every post is kept, and each is looked up for itself;
+    ids without a match add nothing.
 
     ``dimension`` has columns ``id, parent_id``.  ``inline`` needs it below the
-    checked bounds and shuffles nothing; ``join`` works for any size and needs
-    ``key``, non-NULL columns that identify a post.  ``auto`` measures.
-
-    ``join`` reads the posts twice.  If their ids come from a model, ask for
-    ``stage``: the posts are then written to the shared directory first, and
-    the model is called once.
+    checked bounds and shuffles nothing.  ``join`` works for any size: posts are
+    written with a row number and that identifies them.  ``auto`` measures; a
+    dimension beyond the bounds is first reduced to the ids that occur, which
+    mostly brings it below them.
+
+    ``key`` and ``stage`` are no longer needed: rows with equal or NULL keys are
+    posts of their own, and ``join`` always reads written posts, so that a model
+    which gave their ids is called once.
     """
+    if strategy not in ("auto", "inline", "join"):
+        raise ValueError(f"unknown strategy {strategy!r}")
     entries = dimension.select(
         F.col("id").cast("string"), F.col("parent_id").cast("string")
     ).filter(F.col("id").isNotNull() & F.col("parent_id").isNotNull())
-    if strategy not in ("auto", "inline", "join"):
-        raise ValueError(f"unknown strategy {strategy!r}")
+    columns, rows = posts.columns, 1
     if strategy != "join":
         rows, size = measure(entries)
         fits = rows <= MAX_INLINE_ENTRIES and size <= MAX_INLINE_BYTES
         if strategy == "inline" and not fits:
             raise ValueError(f"dimension of {rows} rows, {size} bytes is too large to inline")
+        strategy = "inline" if fits else "reduce"
+    if strategy != "inline":
+        posts = staged(posts.withColumn("_row", F.monotonically_increasing_id()))
+    if strategy == "reduce":
+        occurring = posts.select(F.explode(ids).alias("id")).distinct()
+        entries = staged(entries.join(occurring, "id", "left_semi"))
+        rows, size = measure(entries)
+        fits = rows <= MAX_INLINE_ENTRIES and size <= MAX_INLINE_BYTES
         strategy = "inline" if fits else "join"
     if strategy == "inline":
         found = _inline_parents(posts, entries, ids, max(rows, 1))
     else:
-        found = _joined_parents(staged(posts) if stage else posts, entries, key, ids, salt)
+        found = _joined_parents(posts, entries, ids)
 
     status = (
         F.when((F.col("_n_ids") == 0) | (F.size("_parents") > 0), "ok").otherwise("unmatched")
     )
-    if "classify_status" in posts.columns:
+    if "classify_status" in columns:
         status = F.when(F.col("classify_status") == "failed", "failed").otherwise(status)
-    kept = [c for c in posts.columns if c != ids]
+    kept = [c for c in columns if c != ids]
     return found.select(
         *kept,
         F.col("_ids").alias(ids),
@@ -170,6 +181,12 @@ def lookup_parents(
     )
 
 
+def _count(ids: Column | str) -> Column:
+    """Entries of an array, 0 for NULL whatever the ANSI setting."""
+    ids = F.col(ids) if isinstance(ids, str) else ids
+    return F.when(ids.isNull(), 0).otherwise(F.size(ids))
+
+
 def staged(df: DataFrame) -> DataFrame:
     """The frame as a written table: its lineage ends here."""
     path = shared_dir(df.sparkSession, "staged")
@@ -210,7 +227,7 @@ def _inline_parents(posts: DataFrame, entries: DataFrame, ids: str, slots: int)
         known = F.array_compact(F.coalesce(given, F.array()))
         return F.struct(
             join_ids(given).alias("ids"),
-            F.coalesce(F.size(given), F.lit(0)).alias("n_ids"),
+            _count(given).alias("n_ids"),
             F.array_distinct(F.flatten(F.transform(known, matches))).alias("parents"),
         )
 
@@ -227,29 +244,17 @@ def _inline_parents(posts: DataFrame, entries: DataFrame, ids: str, slots: int)
     )
 
 
-def _joined_parents(
-    posts: DataFrame, entries: DataFrame, key: list[str], ids: str, salt: int
-) -> DataFrame:
-    """Only ``(key, id)`` pairs are shuffled for the join.  The salt spreads an
-    id that occurs in most posts over several tasks; the dimension is copied
-    once per salt value.  A group of the second aggregation is one post."""
-    pairs = posts.select(
-        *key, F.explode(F.array_distinct(ids)).alias("_id")
-    ).withColumn("_salt", F.pmod(F.xxhash64(*key), F.lit(salt)).cast("int"))
-    salted = entries.select(
-        F.col("id").alias("_id"),
-        F.col("parent_id").alias("_parent"),
-        F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).alias("_salt"),
-    )
-    parents = (
-        pairs.join(salted, ["_id", "_salt"])
-        .groupBy(*key)
-        .agg(F.collect_set("_parent").alias("_parents"))
-    )
+def _joined_parents(posts: DataFrame, entries: DataFrame, ids: str) -> DataFrame:
+    """By joins, for a dimension of any size.  ``(_row, id)`` pairs meet the
+    dimension without the posts' other columns; an id in most posts is a skewed
+    join, which Spark splits.  The parents of a post then meet it by its row
+    number."""
+    pairs = posts.select("_row", F.explode(F.array_distinct(ids)).alias("id"))
+    parents = pairs.join(entries, "id").groupBy("_row").agg(F.collect_set("parent_id").alias("_parents"))
     return (
         posts.withColumn("_ids", join_ids(ids))
-        .withColumn("_n_ids", F.coalesce(F.size(ids), F.lit(0)))
-        .join(parents, key, "left")
+        .withColumn("_n_ids", _count(ids))
+        .join(parents, "_row", "left")
         .withColumn("_parents", F.coalesce("_parents", F.array()))
     )
 
@@ -260,7 +265,7 @@ def lookup_from_json(
     """Earlier variant: ids come from three fixed JSON fields, and only
     ``parent_id`` is returned, as JSON text beside the key."""
     ids = messages.select(*key, json_strings(value, INDUSTRY_FIELDS).alias("sub_industry_id"))
-    found = lookup_parents(ids, dimension, key, **options)
+    found = lookup_parents(ids, dimension, **options)
     return found.select(*key, F.to_json(F.struct("parent_id")).alias("value"))
 
 

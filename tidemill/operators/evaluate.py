@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.session import shared_dir
+
 
 def filter_computed(df: DataFrame, condition: Column) -> DataFrame:
     """Filter on columns that were computed in the projection below.
@@ -33,15 +35,41 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 MAX_BROADCAST_ROWS = 100_000
-MAX_BROADCAST_BYTES = 32 << 20
+MAX_BROADCAST_BYTES = 8 << 20
+_NEVER_GROW = ("Project", "Filter", "Aggregate", "Relation", "LocalRelation", "LogicalRelation", "LogicalRDD", "SubqueryAlias", "LocalLimit", "GlobalLimit", "Sort", "Range")
+
+
+def _plain(df: DataFrame) -> bool:
+    """Whether no step of the plan makes rows, so that its size is a bound."""
+    open_nodes = [df._jdf.queryExecution().optimizedPlan()]
+    while open_nodes:
+        node = open_nodes.pop()
+        if node.nodeName().split(" ")[0] not in _NEVER_GROW:
+            return False
+        open_nodes += [node.children().apply(k) for k in range(node.children().size())]
+    return True
 
 
 def is_small(df: DataFrame) -> bool:
-    """Whether a bounded frame stays below the broadcast bounds.  At most one
-    row beyond the bound is read, so a large frame is not scanned for this."""
-    if df.isStreaming:
+    """Whether a bounded frame stays below the broadcast bounds, by the
+    optimizer's size of what it reads.  No job runs; a plan with steps that
+    make rows, or with a source of unknown size, counts as large."""
+    if df.isStreaming or not _plain(df):
         return False
-    size = F.coalesce(F.octet_length(F.to_json(F.struct(*df.columns))), F.lit(0)).alias("size")
-    head = df.select(size).limit(MAX_BROADCAST_ROWS + 1)
-    rows, size = head.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
-    return rows <= MAX_BROADCAST_ROWS and size <= MAX_BROADCAST_BYTES
+    stats = df._jdf.queryExecution().optimizedPlan().stats()
+    rows = stats.rowCount()
+    if rows.isDefined() and int(str(rows.get())) > MAX_BROADCAST_ROWS:
+        return False
+    return int(str(stats.sizeInBytes())) <= MAX_BROADCAST_BYTES
+
+
+def sized(df: DataFrame) -> tuple[DataFrame, bool]:
+    """The frame and whether it is small.  A computed frame is written once, so
+    the size of its files decides and its lineage does not run again."""
+    if df.isStreaming:
+        return df, False
+    if "RDD" in df._jdf.queryExecution().optimizedPlan().toString() or not _plain(df):
+        path = shared_dir(df.sparkSession, "sized")
+        df.write.parquet(path)
+        df = df.sparkSession.read.schema(df.schema).parquet(path)
+    return df, is_small(df)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.columns import as_column
-from tidemill.operators.evaluate import is_small
+from tidemill.operators.evaluate import sized
 
 
 def to_topic(df: DataFrame, topic: str, columns: list[str] | None = None) -> DataFrame:
@@ -63,7 +63,8 @@ def from_offsets(messages: DataFrame, positions: DataFrame) -> DataFrame:
     """Messages at or behind their partition's start offset; partitions
     without one are read from the beginning.  ``positions`` has one small row
     per partition and is broadcast unless it turns out large."""
-    starts = F.broadcast(positions) if is_small(positions) else positions
+    positions, few = sized(positions)
+    starts = F.broadcast(positions) if few else positions
     return (
         messages.join(starts, ["topic", "partition"], "left")
         .filter(F.col("start_offset").isNull() | (F.col("offset") >= F.col("start_offset")))

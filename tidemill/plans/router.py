@@ -8,8 +8,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemill.functions.jsons import is_json_object
 from tidemill.operators.cells import record_cells
+from tidemill.operators.evaluate import filter_computed
 from tidemill.operators.messages import route, to_row_topics
-from tidemill.streaming.logs import BatchLog
+from tidemill.streaming.logs import BatchLog, refuse_stale
 from tidemill.streaming.run import fan_out, log_sink, start
 
 CELL_ROUTE = "cells"
@@ -18,7 +19,7 @@ MAIN_ROUTE = "main"
 
 def route_messages(messages: DataFrame, cell_topics: list[str]) -> DataFrame:
     """JSON-object messages with a ``route``."""
-    checked = messages.filter(is_json_object("value"))
+    checked = filter_computed(messages, is_json_object("value"))
     return route(checked, {CELL_ROUTE: cell_topics}, MAIN_ROUTE)
 
 
@@ -44,6 +45,7 @@ def start_router(
     def republished(batch: DataFrame, batch_id: int) -> DataFrame:
         return to_row_topics(batch.filter(F.col("route") == MAIN_ROUTE))
 
+    refuse_stale(messages.sparkSession, checkpoint, [stage])
     sinks = [
         log_sink(BatchLog(f"{base}/cells"), cells),
         log_sink(BatchLog(f"{base}/published"), republished),

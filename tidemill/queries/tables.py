@@ -284,7 +284,7 @@ def to_row_topics(spark, sf):
 
 @query(
     "hash_upsert",
-    """SELECT 'get_modle' AS hash, 'u' || user_id AS field, max_by(event_type, event_id) AS value
+    """SELECT 'user_events' AS hash, 'u' || user_id AS field, max_by(event_type, event_id) AS value
 FROM events GROUP BY user_id""",
 )
 def hash_upsert(spark, sf):
@@ -293,7 +293,7 @@ def hash_upsert(spark, sf):
     latest = X.latest_by(
         events.select("user_id", "event_type", "event_id"), ["user_id"], F.col("event_id")
     )
-    return M.to_hash(latest, "get_modle", F.concat(F.lit("u"), F.col("user_id")), "event_type")
+    return M.to_hash(latest, "user_events", F.concat(F.lit("u"), F.col("user_id")), "event_type")
 
 
 @query(

@@ -30,7 +30,8 @@ class Start:
 
     @staticmethod
     def timestamp(epoch_ms: int) -> Start:
-        return Start({"startingTimestamp": str(epoch_ms)})
+        """At or after a time; a partition without such a record starts at its end."""
+        return Start({"startingTimestamp": str(epoch_ms), "startingOffsetsByTimestampStrategy": "latest"})
 
     @staticmethod
     def offsets(positions: dict[str, dict[int, int]]) -> Start:

@@ -50,9 +50,10 @@ class LateSplit:
         )
         # both outputs in one pass, as partitions of one table
         output = F.when(F.col("late"), LATE).otherwise(ON_TIME)
-        self.records.write(flagged.withColumn("output", output).drop("late"), batch_id)
+        split = flagged.withColumn("output", output).drop("late")
+        self.records.write(split, batch_id)
 
-        written = self.records.read_batch(spark, batch_id)
+        written = self.records.read_batch(spark, batch_id, split.schema)
         times = high_event_times(written, self.event_ms, self.keys)
         if carry is not None:
             times = times.unionByName(carry).groupBy(*self.keys)

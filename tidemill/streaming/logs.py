@@ -11,10 +11,23 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemill.operators.documents import latest_by
 
 
+def refuse_stale(spark: SparkSession, checkpoint: str, logs: list[BatchLog]) -> None:
+    """Raise if a new checkpoint would start over logs that have batches: its
+    batch ids begin at 0 again and would overwrite theirs."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    there = lambda name: path(name).getFileSystem(spark._jsc.hadoopConfiguration()).exists(path(name))
+    if there(f"{checkpoint}/commits"):
+        return
+    for log in logs:
+        if there(log.batch_path(0)):
+            raise ValueError(f"{log.path} holds batches of another checkpoint; choose a new folder")
+
+
 @dataclass(frozen=True)
 class BatchLog:
     path: str
@@ -29,8 +42,11 @@ class BatchLog:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(self.batch_path(batch_id))
 
-    def read_batch(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        return spark.read.parquet(self.batch_path(batch_id))
+    def read_batch(self, spark: SparkSession, batch_id: int, schema: StructType | None = None) -> DataFrame:
+        """One batch.  A log with partitions has no file for a batch without
+        rows, so its reader gives the schema that was written."""
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        return reader.parquet(self.batch_path(batch_id))
 
     def read(self, spark: SparkSession) -> DataFrame:
         """All batches, with a ``batch_id`` column."""

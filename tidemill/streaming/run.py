@@ -48,8 +48,9 @@ def fan_out(stage: BatchLog, sinks: list[BatchFunction], transform=None) -> Batc
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        stage.write(transform(batch, batch_id) if transform else batch, batch_id)
-        staged = stage.read_batch(batch.sparkSession, batch_id)
+        rows = transform(batch, batch_id) if transform else batch
+        stage.write(rows, batch_id)
+        staged = stage.read_batch(batch.sparkSession, batch_id, rows.schema)
         for sink in sinks:
             sink(staged, batch_id)
 
