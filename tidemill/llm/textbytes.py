@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 _ODD = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
@@ -50,6 +50,17 @@ def text_slices(batch: pa.RecordBatch, name: str = "text", limit: int = SLICE_BY
     for low, high in slices(offsets, limit):
         own = offsets[low : high + 1]
         yield batch.slice(low, high - low), data[own[0] : own[-1]], own - own[0]
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system, so that idle workers do not hold it; without glibc nothing happens."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def byte_table(pattern: str) -> np.ndarray:
@@ -96,7 +107,7 @@ _powers: list[np.ndarray] = []
 def _power_tables(n: int) -> list[np.ndarray]:
     """Powers of an odd base and of its inverse modulo 2**64, kept for later slices."""
     if not _powers or len(_powers[0]) < n:
-        size = 1 << max(20, (n - 1).bit_length() if n > 1 else 1)
+        size = 1 << max(19, (n - 1).bit_length() if n > 1 else 1)
         inverse = pow(_ODD, -1, 1 << 64)
         tables = []
         with np.errstate(over="ignore"):
