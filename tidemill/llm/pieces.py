@@ -24,11 +24,11 @@ from tidemill.llm.textbytes import SpanHashes, span_hash, text_slices
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁".encode()
 UNKNOWN_PENALTY = 10.0
-SLICE = 1 << 20
+SLICE = 1 << 19
 #: Words whose pieces a task keeps for later slices.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 150_000
 #: Substrings probed at once.
-TOGETHER = 1 << 19
+TOGETHER = 1 << 18
 
 
 @dataclass
