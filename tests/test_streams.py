@@ -10,14 +10,14 @@ from tidemill.operators import enrich as E
 from tidemill.operators import messages as M
 from tidemill.operators.clean import as_results, clean_posts
 from tidemill.plans.enrichment import EnrichmentTables, enrich_messages, start_enrichment
-from tidemill.plans.router import start_router
+from tidemill.plans.router import republished, start_router
 from tidemill.queries.enrich import stand_in_scorer
 from tidemill.session import shared_dir
 from tidemill.sources.streams import Start, file_stream, kafka_options
 from tidemill.streaming import windows as W
 from tidemill.streaming.late import LATE, ON_TIME, LateSplit
 from tidemill.streaming.logs import BatchLog
-from tidemill.streaming.run import Snapshot, fan_out, log_sink, start
+from tidemill.streaming.run import Snapshot, fan_out, log_sink, start, writer_sink
 
 S = "This sentence is long enough to pass the gate"
 
@@ -240,6 +240,23 @@ def test_router(spark):
     assert [(r.topic, bytes(r.value)) for r in batch] == [("topic1", b'{"name":"x"}')]
 
 
+def test_flows_feed_the_callers_sinks(spark):
+    rows = [("dd", '{"name":"a","age":1,"time":"t"}', 0, 0, None), ("topic1", '{"name":"x"}', 0, 0, None)]
+    base = shared_dir(spark, "sinks")
+    stream = file_stream(spark, write_files(spark, "sinks", [messages(spark, rows)]))
+    sink = writer_sink("parquet", republished, path=f"{base}/topic")
+    run(start_router(stream, {"dd": "base:dd"}, base, f"{base}/ck", once=True, sinks=[sink]))
+    sent = spark.read.parquet(f"{base}/topic").collect()
+    assert [(r.topic, bytes(r.value)) for r in sent] == [("topic1", b'{"name":"x"}')]
+
+    tables = EnrichmentTables(f"{base}/media")
+    posts = file_stream(spark, write_files(spark, "sinkposts", [messages(spark, BATCHES[0])]))
+    sink = writer_sink("parquet", path=f"{base}/index")
+    snapshot = Snapshot(lambda: dimension(spark, [("4", "A")]))
+    run(start_enrichment(posts, snapshot, stand_in_scorer, tables, f"{base}/ck2", once=True, sinks=[sink]))
+    assert spark.read.parquet(f"{base}/index").count() == tables.results.read(spark).count() > 0
+
+
 def test_kafka_options():
     options = kafka_options("h1:9092,h2:9092", ["a", "b"], Start.earliest())
     assert options == {

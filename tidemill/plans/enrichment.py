@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +15,7 @@ from tidemill.operators.decode import decode_posts
 from tidemill.operators.documents import latest_by
 from tidemill.operators.enrich import classify, lookup_parents, split_failures
 from tidemill.streaming.logs import BatchLog, refuse_stale
-from tidemill.streaming.run import Snapshot, fan_out, start
+from tidemill.streaming.run import BatchFunction, Snapshot, fan_out, start
 
 POSITION = ["topic", "partition", "offset"]
 
@@ -88,12 +88,14 @@ def start_enrichment(
     tables: EnrichmentTables,
     checkpoint: str,
     once: bool = False,
+    sinks: Sequence[BatchFunction] = (),
     **options,
 ) -> StreamingQuery:
     """Run the flow on a message stream.  Each batch is enriched once and
     written to ``results``, failures included; the last result of each row key
     goes to the document index and the cell table.  Messages that cannot be
-    decoded go to ``rejects``."""
+    decoded go to ``rejects``.  ``sinks`` get each written batch of results as
+    well, for instance ``writer_sink(...)`` to an index or a topic."""
 
     def enrich(batch: DataFrame, batch_id: int) -> DataFrame:
         tables.rejects.write(decode_posts(batch).rejects, batch_id)
@@ -110,5 +112,5 @@ def start_enrichment(
         tables.cells.write(to_cells(last, version=batch_id), batch_id)
 
     refuse_stale(messages.sparkSession, checkpoint, [tables.results])
-    process = fan_out(tables.results, [documents, cells], enrich)
+    process = fan_out(tables.results, [documents, cells, *sinks], enrich)
     return start(messages, process, checkpoint, once=once)

@@ -38,8 +38,28 @@ def finish(stream_query):
     stream_query.awaitTermination()
 
 
+PARTS = 3
+
+
+def work_off(spark, sf, name, order, begin):
+    """Stream the whole table in parts that arrive one after another in the
+    order of a number: each start resumes behind the part before it, so state,
+    windows and positions pass from batch to batch."""
+    rows = table(spark, sf, name)
+    low, high = rows.agg(F.min(order), F.max(order)).first()
+    step = 1 if low is None else (high - low) // PARTS + 1
+    part = F.coalesce(F.floor((F.col(order) - F.lit(low)) / step), F.lit(0))
+    folder = shared_dir(spark, name)
+    for k in range(PARTS):
+        rows.filter(part == k).write.mode("append").parquet(folder)
+        finish(begin(file_stream(spark, folder, rows.schema)))
+
+
 def conversation_stream(spark, sf):
-    turns = table_stream(spark, sf, "conversations")
+    return decorated_turns(table_stream(spark, sf, "conversations"))
+
+
+def decorated_turns(turns):
     number = F.col("conv_id") * 7 + F.col("turn")
     return turns.select("conv_id", "turn", "role", inputs.decorated("text", number).alias("t"))
 
@@ -76,12 +96,15 @@ def stream_topics(spark, sf):
 
 @query("stream_resume", "SELECT event_id, event_type FROM events")
 def stream_resume(spark, sf):
-    """A second start resumes behind the committed input and adds nothing."""
+    """Each start resumes behind the committed input and adds only what is new."""
     base = shared_dir(spark, "resume")
     log = BatchLog(f"{base}/log")
-    for _ in range(2):
-        events = table_stream(spark, sf, "events").select("event_id", "event_type")
-        finish(start(events, log_sink(log), f"{base}/checkpoint", once=True))
+
+    def begin(events):
+        columns = events.select("event_id", "event_type")
+        return start(columns, log_sink(log), f"{base}/checkpoint", once=True)
+
+    work_off(spark, sf, "events", "event_id", begin)
     return log.read(spark).select("event_id", "event_type")
 
 
@@ -101,12 +124,17 @@ def replay_safe(spark, sf):
 
 
 def _windows(spark, sf, size_ms, slide_ms, offset_ms, lateness_ms):
-    events = table_stream(spark, sf, "events").select("ts", "event_type", cents())
-    timed = W.with_watermark(W.with_event_time(events, "ts", "timestamp"), lateness_ms=lateness_ms)
-    stream = W.sliding_stream(timed, ["event_type"], "cents", size_ms, slide_ms, offset_ms)
+    """Windows across the borders of the parts are refined, their state carried."""
     base = shared_dir(spark, "windows")
     log = BatchLog(f"{base}/log")
-    finish(start(stream, log_sink(log), f"{base}/checkpoint", output_mode="update", once=True))
+
+    def begin(events):
+        events = events.select("ts", "event_type", cents())
+        timed = W.with_watermark(W.with_event_time(events, "ts", "timestamp"), lateness_ms=lateness_ms)
+        stream = W.sliding_stream(timed, ["event_type"], "cents", size_ms, slide_ms, offset_ms)
+        return start(stream, log_sink(log), f"{base}/checkpoint", output_mode="update", once=True)
+
+    work_off(spark, sf, "events", "event_id", begin)
     latest = log.latest(spark, ["event_type", "window_start"])
     return latest.select(
         "event_type", "window_start", "window_end", "n", "sum", "min", "max", "avg"
@@ -125,10 +153,14 @@ def allowed_lateness(spark, sf):
 
 @query("late_records_stream", LATE_BY_TYPE_SQL)
 def late_records_stream(spark, sf):
+    """The greatest event times pass from part to part."""
     base = shared_dir(spark, "late")
     split = LateSplit(base, "event_ms", "event_id", ["event_type"], block_rows=1000)
-    events = jittered(table_stream(spark, sf, "events"))
-    finish(start(events, split.process, f"{base}/checkpoint", once=True))
+
+    def begin(events):
+        return start(jittered(events), split.process, f"{base}/checkpoint", once=True)
+
+    work_off(spark, sf, "events", "event_id", begin)
     flagged = [
         split.read(spark, output).select(
             "event_id", "event_type", "event_ms", F.lit(output == LATE).alias("late")
@@ -208,10 +240,18 @@ def _run_enrichment(spark, sf):
 
 @query("enrich_stream", ENRICH_MESSAGES_SQL)
 def enrich_stream(spark, sf):
-    """The streaming flow gives what the batch flow gives; the dimension is
-    read again for every batch."""
-    results = _run_enrichment(spark, sf).results.read(spark)
-    return clean.as_results(results, "enrich_status")
+    """The streaming flow gives what the batch flow gives, over several batches;
+    the dimension is read again for each."""
+    base = shared_dir(spark, "enrichment")
+    tables = EnrichmentTables(base)
+    snapshot = Snapshot(lambda: dimension(spark, sf))
+
+    def begin(turns):
+        messages = inputs.post_messages(decorated_turns(turns))
+        return start_enrichment(messages, snapshot, stand_in_scorer, tables, f"{base}/checkpoint", once=True)
+
+    work_off(spark, sf, "conversations", "conv_id", begin)
+    return clean.as_results(tables.results.read(spark), "enrich_status")
 
 
 FIELDS = "type, post_user_name, media, sub_industry_id, parent_id, post_content"

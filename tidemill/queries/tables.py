@@ -349,13 +349,27 @@ def orc_scan(spark, sf):
 FROM events WHERE event_id % 11 <> 0 AND event_id % 7 <> 0""",
 )
 def comma_records(spark, sf):
+    return _comma_lines(spark, sf).good
+
+
+@query(
+    "comma_rejects",
+    """SELECT 'u' || user_id || ',' || CASE WHEN event_id % 11 = 0 THEN 'x' ELSE (user_id % 90)::VARCHAR END || ','
+|| CASE WHEN event_id % 7 = 0 THEN '' ELSE strftime(ts, '%Y-%m-%d') END AS value
+FROM events WHERE event_id % 11 = 0 OR event_id % 7 = 0""",
+)
+def comma_rejects(spark, sf):
+    return _comma_lines(spark, sf).rejects
+
+
+def _comma_lines(spark, sf):
     """Lines written as text; some lack the time or have no numeric age."""
     base = shared_dir(spark, "lines")
     age = F.when(F.col("event_id") % 11 == 0, "x").otherwise((F.col("user_id") % 90).cast("string"))
     time = F.when(F.col("event_id") % 7 == 0, "").otherwise(F.date_format("ts", "yyyy-MM-dd"))
     line = F.concat_ws(",", F.concat(F.lit("u"), "user_id"), age, time)
     table(spark, sf, "events").select(line.alias("value")).write.text(base)
-    return files.comma_records(files.read_lines(spark, base)).good
+    return files.comma_records(files.read_lines(spark, base))
 
 
 @query(
@@ -364,16 +378,31 @@ def comma_records(spark, sf):
 'a & b, ' || replace(text, chr(10), ' ') AS post_content FROM conversations""",
 )
 def ampersand_posts(spark, sf):
+    posts = _ampersand_lines(spark, sf, F.lit(1614666023000) + F.col("conv_id")).good
+    return posts.select(
+        "post_user_name", "rowkey", F.unix_millis("event_time").alias("event_ms"), "post_content"
+    )
+
+
+@query(
+    "ampersand_rejects",
+    """SELECT '"' || role || '"&"' || conv_id || '-' || turn || '"&later&a & b, ' || replace(text, chr(10), ' ') AS value
+FROM conversations WHERE conv_id % 5 = 0""",
+)
+def ampersand_rejects(spark, sf):
+    """Lines without a time."""
+    time = F.when(F.col("conv_id") % 5 == 0, "later").otherwise(F.col("conv_id").cast("string"))
+    return _ampersand_lines(spark, sf, time).rejects
+
+
+def _ampersand_lines(spark, sf, time):
     base = shared_dir(spark, "posts")
     line = F.concat_ws(
         "&",
         F.concat(F.lit('"'), "role", F.lit('"')),
         F.concat(F.lit('"'), "conv_id", F.lit("-"), "turn", F.lit('"')),
-        F.lit(1614666023000) + F.col("conv_id"),
+        time,
         F.concat(F.lit("a & b, "), F.replace(F.col("text"), F.lit("\n"), F.lit(" "))),
     )
     table(spark, sf, "conversations").select(line.alias("value")).write.text(base)
-    posts = files.ampersand_posts(files.read_lines(spark, base)).good
-    return posts.select(
-        "post_user_name", "rowkey", F.unix_millis("event_time").alias("event_ms"), "post_content"
-    )
+    return files.ampersand_posts(files.read_lines(spark, base))
