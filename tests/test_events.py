@@ -48,6 +48,18 @@ def test_late_flags_without_key(spark):
         assert {r.arrival for r in flagged if r.late} == {3}
 
 
+@pytest.mark.parametrize("step,levels", [(1, 1), (999_983, 2), (10**12, 2), (10**12, 0)])
+def test_late_flags_of_sparse_arrivals(spark, step, levels):
+    """Blocks of one record, over several spans, with negative numbers; NULL arrivals come first and are not lost."""
+    data = [(k, (a - 4000) * step, ms) for k, a, ms in random_events(1200)]
+    frame = spark.createDataFrame([*data, ("a", None, -(10**9))], "k string, arrival long, ms long").repartition(5)
+    flagged = V.flag_late(frame, "ms", "arrival", ["k"], block_rows=2, levels=levels).collect()
+    assert len(flagged) == len(data) + 1
+    assert {r.arrival for r in flagged if r.late} == brute_late(data)
+    whole = V.flag_late(frame, "ms", "arrival", block_rows=2, levels=levels).collect()
+    assert {r.arrival for r in whole if r.late} == brute_late([("", a, ms) for _, a, ms in data])
+
+
 def test_late_flags_with_carried_state(spark):
     data = random_events()
     first, second = data[:1500], data[1500:]

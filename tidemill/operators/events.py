@@ -21,6 +21,32 @@ def epoch_millis(c: str) -> Column:
     return F.unix_millis(F.col(c).cast("timestamp"))
 
 
+#: Blocks whose maxima are scanned together.
+SPAN = 1000
+
+
+def _earlier_maxima(blocks: DataFrame, keys: list[str], width: int, levels: int) -> DataFrame:
+    """``_block, keys, _before``: the greatest ``_max`` of all earlier blocks of
+    the key, from ``_block, keys, _max``; blocks begin at multiples of ``width``.
+
+    Blocks are compared inside their span, and spans with each other the same way.
+    """
+    earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    if not levels:
+        scan = earlier.partitionBy(*keys)
+        return blocks.select("_block", *keys, F.max("_max").over(scan).alias("_before"))
+    wide = width * SPAN
+    spans = blocks.withColumn("_span", F.col("_block") - F.pmod(F.col("_block"), F.lit(wide)))
+    summed = spans.groupBy(F.col("_span").alias("_block"), *keys).agg(F.max("_max").alias("_max"))
+    outer = _earlier_maxima(summed, keys, wide, levels - 1).select(
+        F.col("_block").alias("_span"), *keys, F.col("_before").alias("_outer")
+    )
+    inner = spans.withColumn("_inner", F.max("_max").over(earlier.partitionBy("_span", *keys)))
+    return inner.join(outer, ["_span", *keys], "left").select(
+        "_block", *keys, F.greatest("_inner", "_outer").alias("_before")
+    )
+
+
 def flag_late(
     df: DataFrame,
     event_ms: str,
@@ -29,6 +55,7 @@ def flag_late(
     delay_ms: int = fv.OUT_OF_ORDERNESS_MS,
     block_rows: int = 1_000_000,
     carry: DataFrame | None = None,
+    levels: int = 1,
 ) -> DataFrame:
     """Add ``late``: the event time is at or behind the greatest one seen
     earlier on the same key, less the delay.
@@ -36,9 +63,12 @@ def flag_late(
     ``arrival`` is a whole number that orders the records of a key without
     ties (a message offset).  The running maximum is taken in two levels, so
     that one key holding most of the records is still spread over many tasks:
-    each block of arrival numbers is summarised by its maximum, the few block
-    rows are scanned in order, and records are only compared inside their own
-    block, of at most ``block_rows`` records.  ``carry`` holds the greatest event time per key (``keys``,
+    each block of arrival numbers is summarised by its maximum, the maxima are
+    scanned level by level, and records are only compared inside their own
+    block, of at most ``block_rows`` records.  Sparse arrival numbers may give
+    as many blocks as records: no task scans more than ``SPAN`` of a key, but
+    for the last level, of one row for ``block_rows * SPAN ** levels`` numbers.
+    Arrival numbers that are times in nanoseconds want two levels.  ``carry`` holds the greatest event time per key (``keys``,
     ``high_ms``) of earlier input, as returned by :func:`high_event_times`.
     """
     keys = list(keys or [])
@@ -51,15 +81,8 @@ def flag_late(
     block = F.col(arrival) - F.pmod(F.col(arrival), F.lit(block_rows))
     rows = df.withColumns({"_block": block, **joinable})
 
-    earlier_blocks = (
-        Window.partitionBy(*by_key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    before = (
-        rows.groupBy(*by_block)
-        .agg(F.max(event_ms).alias("_max"))
-        .withColumn("_before", F.max("_max").over(earlier_blocks))
-        .drop("_max")
-    )
+    blocks = rows.groupBy(*by_block).agg(F.max(event_ms).alias("_max"))
+    before = _earlier_maxima(blocks, by_key, block_rows, levels)
     if carry is not None:
         carried = carry.withColumns(joinable).select(*by_key, F.col("high_ms").alias("_carry"))
         before = before.join(carried, by_key, "left").select(

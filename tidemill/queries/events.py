@@ -93,6 +93,16 @@ def late_records_global(spark, sf):
     return V.flag_late(frame, "event_ms", "event_id", block_rows=1000)
 
 
+SPARSE = 1_000_000_007
+
+
+@query("late_records_sparse", late_sql("").replace("SELECT *,", f"SELECT event_id * {SPARSE} AS event_id, event_type, event_ms,"))
+def late_records_sparse(spark, sf):
+    """Arrival numbers far apart: every record is a block of its own."""
+    frame = jittered(table(spark, sf, "events")).withColumn("event_id", F.col("event_id") * SPARSE)
+    return V.flag_late(frame, "event_ms", "event_id", levels=2)
+
+
 # -- start positions of a message log -------------------------------------------------
 
 POSITION_SQL = 'topic, partition, "offset"'

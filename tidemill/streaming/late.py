@@ -36,17 +36,18 @@ class LateSplit:
         keys: list[str] | None = None,
         delay_ms: int = fv.OUT_OF_ORDERNESS_MS,
         block_rows: int = 1_000_000,
+        levels: int = 1,
     ):
         self.records = BatchLog(f"{base}/records", ("output",))
         self.high = BatchLog(f"{base}/high")
         self.event_ms, self.arrival, self.keys = event_ms, arrival, list(keys or [])
-        self.delay_ms, self.block_rows = delay_ms, block_rows
+        self.delay_ms, self.block_rows, self.levels = delay_ms, block_rows, levels
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         carry = self.high.read_batch(spark, batch_id - 1) if batch_id else None
         flagged = flag_late(
-            batch, self.event_ms, self.arrival, self.keys, self.delay_ms, self.block_rows, carry
+            batch, self.event_ms, self.arrival, self.keys, self.delay_ms, self.block_rows, carry, self.levels
         )
         # both outputs in one pass, as partitions of one table
         output = F.when(F.col("late"), LATE).otherwise(ON_TIME)
