@@ -156,42 +156,18 @@ def test_license_notices_are_labelled(spark):
     assert licenses.scan_licenses(frame.limit(0)).count() == 0
 
 
-# -- near duplicates
+def test_license_notices_side_by_side_are_all_labelled(spark):
+    mit, bsd, apache = (max((t for t in licenses.TEMPLATES if t[0] == label), key=lambda t: len(t[2].split()))[2] for label in ("mit", "bsd", "apache-2.0"))
+    vocabulary = " x ".join(sorted({w for t in licenses.TEMPLATES for w in t[2].split()}, reverse=True))
+    altered = apache.replace("compliance", "accordance").replace("except", "unless").replace("file", "code").replace("use", "copy")
+    texts = [" and more ".join([mit, bsd, apache]), f"{vocabulary} x {apache} x {vocabulary}", f"{mit} x licensed under the apache license version 2 0", vocabulary, altered]
+    texts += ["other words"] * 5 + [mit] * 3 + [apache] * 4
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.labels for r in licenses.scan_licenses(frame).collect()}
+    assert [found[k] for k in range(5)] == ["apache-2.0,bsd,mit", "apache-2.0", "apache-2.0,mit", "", "apache-2.0"]
 
 
-def bags(texts):
-    out = {}
-    for k, t in texts.items():
-        w = words(t)
-        out[k] = Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else Counter([tuple(w)] if w else [])
-    return out
-
-
-def brute_classes(texts):
-    root, own, by, same = {k: k for k in texts}, bags(texts), defaultdict(list), defaultdict(list)
-
-    def find(k):
-        while root[k] != k:
-            k = root[k]
-        return k
-
-    for k, c in own.items():
-        for g in c:
-            by[g].append(k)
-    pairs = {(a, b) for group in by.values() for i, b in enumerate(group) for a in group[:i]}
-    for a, b in pairs:
-        m = sum((own[a] & own[b]).values())
-        if m >= 0.8 * (own[a].total() + own[b].total() - m):
-            x, y = find(a), find(b)
-            root[max(x, y)] = min(x, y)
-    for k, t in texts.items():
-        if t is not None:
-            same[t].append(k)
-    for group in same.values():
-        for k in group:
-            x, y = find(k), find(group[0])
-            root[max(x, y)] = min(x, y)
-    return {k: find(k) for k in texts}
+# -- near duplicates
 
 
 def test_near_duplicates_equal_brute_force(spark, docs, tmp_path):

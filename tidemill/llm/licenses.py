@@ -1,10 +1,12 @@
 """Operator 4: license scan by a positional index of rare license words.
 
 Words are runs of digits, ASCII letters (lower-cased) and longer characters.  The index maps each word of the license
-templates to (template, position).  A file's license words with the highest inverse document frequency are looked up; the
-difference of file position and template position lines a template up with the file, and differences that several rare
-words agree on are candidates.  A candidate becomes a label if enough of the template's words stand at their places and
-its mandatory key phrase does too.  Base phrases are counted at every place, whatever the method finds.
+templates to (template, position).  Every place of a template's own rarest words (highest inverse document frequency, taken
+from its mandatory key phrase) is looked up; the difference of file position and template position lines the template up
+with the file, and differences that several rare words agree on are candidates.  A candidate becomes a label if enough of
+the template's words stand at their places and its key phrase does too.  Since the whole key phrase must stand there, its
+rarest words agree on every place that can become a label, however many other license words the file holds.  Base phrases
+are counted at every place, whatever the method finds.
 
 Cases: a null or empty text has no words and no labels; places may overlap; repeated rows get equal results; document
 frequencies count every row, nulls too, and an empty table has none; extra columns are dropped.
@@ -107,36 +109,42 @@ def _phrase_places(hashes: np.ndarray, of: np.ndarray, phrase: list[int]) -> np.
 
 
 class Aligner:
-    """Looks up a file's rarest license words and lines templates up with it."""
+    """Looks up each template's rarest words in a file and lines the template up with it."""
 
     def __init__(self, index: TemplateIndex, idf: np.ndarray, rare: int, share: float, cover: float):
-        self.index, self.idf, self.rare, self.cover = index, idf, rare, cover
+        self.index, self.cover = index, cover
         ranks = {int(h): k for k, h in enumerate(index.vocabulary)}
         self.texts = [[ranks[h] for h in t] for t in index.texts]
         self.keys = [[ranks[h] for h in t] for t in index.keys]
         self.postings: dict[int, list[tuple[int, int]]] = {}
-        for t, text in enumerate(self.texts):
-            for p, w in enumerate(text):
-                self.postings.setdefault(w, []).append((t, p))
-        # a template is tried once half of its own rarest words agree on where it begins
-        self.need = [max(1, int(np.ceil(share * min(rare, len(set(t)))))) for t in self.texts]
-        #: a file is looked at only if it holds a word that ranks high among the words of some template
+        #: a template is tried once half of its rarest words agree on where it begins
+        self.need: list[int] = []
+        #: the rarest word of each template: a file without it can't hold the key phrase
+        self.first: list[int] = []
+        for t, (text, key) in enumerate(zip(self.texts, self.keys)):
+            chosen = sorted(set(key), key=lambda w: (-idf[w], w))[:rare]
+            self.need.append(max(1, int(np.ceil(share * len(chosen)))))
+            self.first.append(chosen[0])
+            places = {q + k for q in range(len(text) - len(key) + 1) if text[q : q + len(key)] == key for k in range(len(key))}
+            for p in sorted(places):
+                if text[p] in chosen:
+                    self.postings.setdefault(text[p], []).append((t, p))
         self.anchors = np.zeros(len(index.vocabulary), bool)
-        for text in self.texts:
-            self.anchors[sorted(set(text), key=lambda w: -idf[w])[:2]] = True
+        self.anchors[self.first] = True
 
     def file(self, at: np.ndarray, which: np.ndarray) -> tuple[set[str], float]:
         """Labels and best coverage of one file, from the word numbers and vocabulary ranks of its license words."""
-        chosen = sorted(set(which.tolist()), key=lambda w: (-self.idf[w], w))[: self.rare]
-        votes: dict[tuple[int, int], set[int]] = {}
         place = dict(zip(at.tolist(), which.tolist()))
+        present = set(place.values())
+        able = [w in present for w in self.first]
+        postings = {w: own for w in present if (own := [x for x in self.postings.get(w, ()) if able[x[0]]])}
+        votes: dict[tuple[int, int], set[int]] = {}
         for p, w in place.items():
-            if w in chosen:
-                for t, q in self.postings.get(w, ()):
-                    votes.setdefault((t, p - q), set()).add(w)
+            for t, q in postings.get(w, ()):
+                votes.setdefault((t, p - q), set()).add(w)
         labels, best = set(), 0.0
         for (t, begin), agreed in votes.items():
-            if len(agreed) < self.need[t] and len(agreed) < len(chosen):
+            if len(agreed) < self.need[t]:
                 continue
             text = self.texts[t]
             cover = sum(place.get(begin + q) == w for q, w in enumerate(text)) / len(text)
