@@ -170,6 +170,80 @@ def test_license_notices_side_by_side_are_all_labelled(spark):
 # -- near duplicates
 
 
+@pytest.fixture
+def shifting_splits(spark, monkeypatch):
+    """File splits that change with every written table, as they do when executors come or go."""
+    count, real = [0], neardup.staged
+
+    def shifted(frame, label):
+        written = real(frame, label)
+        count[0] += 1
+        spark.conf.set("spark.sql.files.minPartitionNum", 1 if count[0] % 2 else 64)
+        return written
+
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum")}
+    spark.conf.set("spark.sql.files.openCostInBytes", 0)
+    spark.conf.set("spark.sql.files.minPartitionNum", 64)
+    for module in (neardup, decontaminate):
+        monkeypatch.setattr(module, "staged", shifted)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_rows_keep_their_numbers_when_splits_change(spark, shifting_splits, monkeypatch, tmp_path):
+    draw = random.Random(4)
+    texts = {}
+    for k in range(200):
+        own = [f"w{draw.randrange(10**6)}" for _ in range(100)]
+        texts[2 * k], texts[2 * k + 1] = " ".join(own), " ".join([*own[:-1], "end"])
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(7).write.parquet(path)
+    docs = spark.read.parquet(path)
+    assert {r.doc_id: r.class_id for r in neardup.near_duplicates(docs).collect()} == {k: k - k % 2 for k in texts}
+    assert sorted(r.doc_id for r in neardup.representatives(docs).collect()) == list(range(0, 400, 2))
+    monkeypatch.setattr(decontaminate, "BROADCAST_WORDS", 0)
+    benchmark = spark.createDataFrame([(1, " ".join(texts[6].split()[:30]))], "item_id long, text string")
+    assert sorted(r.doc_id for r in decontaminate.contaminated(docs, benchmark).collect()) == [6, 7]
+    assert sorted(set(texts) - {r.doc_id for r in decontaminate.without_passages(docs, benchmark).collect()}) == [6, 7]
+
+
+
+def bags(texts):
+    out = {}
+    for k, t in texts.items():
+        w = words(t)
+        out[k] = Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else Counter([tuple(w)] if w else [])
+    return out
+
+
+def brute_classes(texts):
+    root, own, by, same = {k: k for k in texts}, bags(texts), defaultdict(list), defaultdict(list)
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for k, c in own.items():
+        for g in c:
+            by[g].append(k)
+    pairs = {(a, b) for group in by.values() for i, b in enumerate(group) for a in group[:i]}
+    for a, b in pairs:
+        m = sum((own[a] & own[b]).values())
+        if m >= 0.8 * (own[a].total() + own[b].total() - m):
+            x, y = find(a), find(b)
+            root[max(x, y)] = min(x, y)
+    for k, t in texts.items():
+        if t is not None:
+            same[t].append(k)
+    for group in same.values():
+        for k in group:
+            x, y = find(k), find(group[0])
+            root[max(x, y)] = min(x, y)
+    return {k: find(k) for k in texts}
+
+
 def test_near_duplicates_equal_brute_force(spark, docs, tmp_path):
     draw = random.Random(3)
     texts = {r.doc_id: r.text for r in docs.collect()}

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tidemill.llm.neardup import numbered
 from tidemill.llm.registry import query, table
 from tidemill.llm.staging import staged
 from tidemill.llm.textbytes import mix, repeat_index, text_slices, window_hashes, words
@@ -165,13 +166,13 @@ SCHEMA = "row long, doc_id long, item_id long, item_words long, covered_words lo
 def contaminated(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFrame:
     """A row for each contaminated document and item: ``row, doc_id, item_id``, words covered and their share.
 
-    ``row`` numbers the rows of ``docs``, a written table.
+    ``row`` tells the rows of ``docs`` apart within this result; another read may number them otherwise.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     items = benchmark.select("item_id", "text")
     own = _small(items)
     if own is None:
-        return _joined(rows, items, cover)
+        return _joined(numbered(docs.select("doc_id", "text")), items, cover)
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     def batches(stream):
         for batch in stream:
@@ -210,8 +211,9 @@ def _seed_rows(frame: DataFrame, key: str) -> DataFrame:
     return frame.select(key, "text").mapInArrow(batches, f"{key} long, seed long, width long").distinct()
 
 
-def _joined(rows: DataFrame, items: DataFrame, cover: float) -> DataFrame:
-    """The same for a benchmark of any size: seeds are joined, then the texts of candidate pairs meet."""
+def _joined(docs: DataFrame, items: DataFrame, cover: float) -> DataFrame:
+    """The same for numbered documents and a benchmark of any size: seeds are joined, then the texts of candidate pairs meet."""
+    rows = docs.select(F.col("__row").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     items = staged(items.select(F.monotonically_increasing_id().alias("item"), F.col("item_id").cast("long").alias("item_id"), "text"), "benchmark-items")
     pairs = _seed_rows(rows, "row").join(_seed_rows(items, "item"), ["seed", "width"]).select("row", "item").distinct()
     both = pairs.join(rows, "row").join(items.withColumnRenamed("text", "item_text"), "item").select("row", "doc_id", "item_id", "text", "item_text")
@@ -231,10 +233,12 @@ def _joined(rows: DataFrame, items: DataFrame, cover: float) -> DataFrame:
 
 def without_passages(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFrame:
     """The rows of ``docs``, all columns, that no item contaminates."""
-    own = _small(benchmark.select("item_id", "text"))
+    items = benchmark.select("item_id", "text")
+    own = _small(items)
     if own is None:
-        spoiled = contaminated(docs, benchmark, cover).select("row").distinct()
-        return docs.withColumn("__row", F.monotonically_increasing_id()).join(spoiled.withColumnRenamed("row", "__row"), "__row", "left_anti").drop("__row")
+        docs = numbered(docs)
+        spoiled = _joined(docs, items, cover).select("row").distinct()
+        return docs.join(spoiled.withColumnRenamed("row", "__row"), "__row", "left_anti").drop("__row")
 
     def batches(stream):
         for batch in stream:

@@ -126,8 +126,17 @@ def _lists(owners: np.ndarray, values: np.ndarray, n: int) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(places), pa.array(values))
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` written with a row number ``__row``.
+
+    A row number depends on the file splits, and these on the cores at the time of a read; so it is drawn once, and all
+    reads that are joined by it take it from what was written.
+    """
+    return staged(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered-rows")
+
+
 def signed_rows(docs: DataFrame) -> DataFrame:
-    """``row, doc_id, key, n, sig`` of every row: the text's digest, its number of shingles, its signature (null without a word)."""
+    """``row, doc_id, key, n, sig`` of every row of numbered documents: the text's digest, its number of shingles, its signature (null without a word)."""
 
     def batches(stream):
         for batch in stream:
@@ -140,7 +149,7 @@ def signed_rows(docs: DataFrame) -> DataFrame:
                 sig = pa.ListArray.from_arrays(places, pa.array(found[size > 0].ravel()))
                 yield pa.RecordBatch.from_arrays([own.column("row"), own.column("doc_id"), own.column("key"), pa.array(size), sig], ["row", "doc_id", "key", "n", "sig"])
 
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.md5(F.col("text").cast("binary")).alias("key"), "text")
+    rows = docs.select(F.col("__row").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.md5(F.col("text").cast("binary")).alias("key"), "text")
     return rows.mapInArrow(batches, "row long, doc_id long, key string, n long, sig array<int>")
 
 
@@ -179,9 +188,9 @@ def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _bags(wanted: DataFrame, docs: DataFrame) -> DataFrame:
-    """``node, units`` of the wanted nodes (``node, row``), from their whole texts."""
+    """``node, units`` of the wanted nodes (``node, row``), from their whole texts in numbered documents."""
     few = wanted.count() * 16 <= BROADCAST_BYTES
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), "text")
+    rows = docs.select(F.col("__row").alias("row"), "text")
 
     def listed(stream):
         for batch in stream:
@@ -279,7 +288,7 @@ def _linked(frame: pd.DataFrame) -> pd.DataFrame:
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """``row, doc_id, class_id, key, label``: one row per row of ``docs``, which must be a written table (it is read twice)."""
+    """``row, doc_id, class_id, key, label``: one row per row of ``docs``, as ``numbered`` gives them."""
     signed = staged(signed_rows(docs), "near-signed")
     keyed = signed.where("key is not null")
     firsts = keyed.groupBy("key").agg(F.min("row").alias("row"), F.min("doc_id").alias("least"))
@@ -310,18 +319,19 @@ def representatives(docs: DataFrame) -> DataFrame:
 
     Rows with a null text stay, each for itself.
     """
+    docs = numbered(docs)
     found = staged(classes(docs).where("key is not null"), "near-members")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     groups = found.groupBy("label").agg(F.min(order).alias("best"))
     kept = groups.select(F.col("best.row").alias("row"))
     dropped = staged(found.select("row").join(kept, "row", "left_anti").withColumnRenamed("row", "__row"), "near-dropped")
     few = dropped.count() * 16 <= BROADCAST_BYTES
-    return docs.withColumn("__row", F.monotonically_increasing_id()).join(F.broadcast(dropped) if few else dropped, "__row", "left_anti").drop("__row")
+    return docs.join(F.broadcast(dropped) if few else dropped, "__row", "left_anti").drop("__row")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, class_id`` for every row."""
-    return classes(docs).select("doc_id", "class_id")
+    return classes(numbered(docs.select("doc_id", "text"))).select("doc_id", "class_id")
 
 
 @query("op5_near_duplicates")
