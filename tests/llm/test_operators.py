@@ -507,3 +507,27 @@ def test_secret_network_learns_and_texts_are_redacted(spark):
     rows = {r.doc_id: r.text for r in secrets.redact_secrets(frame, model).collect()}
     assert rows[601] == "id [secret]" and rows[602] is None and rows[603] == "" and all("[secret]" in rows[k] for k in range(300))
     assert all(rows[k] == texts[k] for k in range(300, 600)) and rows[600] == "the key is [secret] ok"
+
+
+class Spotter:
+    """Stands for a network that is sure of windows with a Z."""
+
+    threshold = 0.5
+
+    def probabilities(self, codes):
+        return (codes == ord("Z")).any(axis=1).astype(float)
+
+
+def model_spans(text):
+    raw = text.encode()
+    starts, ends, kinds = secrets.find_secrets(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), Spotter())
+    return [(a, b) for a, b, k in zip(starts.tolist(), ends.tolist(), kinds.tolist()) if secrets.KINDS[k] == "model"]
+
+
+def test_long_candidates_are_read_to_their_end():
+    for size in (33, 40, 48, 64, 65, 500):
+        for at in range(size):
+            own = ["q"] * size
+            own[at] = "Z"
+            assert model_spans(f"in {''.join(own)} x") == [(3, 3 + size)]
+    assert model_spans(f"in {'q' * 500} x") == []
