@@ -531,3 +531,10 @@ def test_long_candidates_are_read_to_their_end():
             own[at] = "Z"
             assert model_spans(f"in {''.join(own)} x") == [(3, 3 + size)]
     assert model_spans(f"in {'q' * 500} x") == []
+
+
+def test_wanted_recall_is_kept_when_probabilities_are_low():
+    codes = np.tile(np.frombuffer(b"x" * secrets.WIDTH, np.uint8), (330, 1))
+    model = secrets.fit_secrets(codes, np.arange(330) % 11 == 0)
+    p = model.probabilities(codes)
+    assert p.max() < 0.5 and (p >= model.threshold).all() and model.recall == 1 and 0.05 < model.precision < 0.15
