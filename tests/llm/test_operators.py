@@ -538,3 +538,10 @@ def test_wanted_recall_is_kept_when_probabilities_are_low():
     model = secrets.fit_secrets(codes, np.arange(330) % 11 == 0)
     p = model.probabilities(codes)
     assert p.max() < 0.5 and (p >= model.threshold).all() and model.recall == 1 and 0.05 < model.precision < 0.15
+
+
+def test_letters_and_what_stands_behind_a_base_finding_are_scored():
+    assert model_spans("my kkkkZkkk here") == [(3, 11)] and model_spans("my kkkkZkk here") == []
+    access = "AKIA" + "A1" * 8
+    assert model_spans(f"{access}/{'Zk' * 20}") == [(0, 61)] and model_spans(f"x {access} y") == []
+    assert model_spans(f"x {access}/Zk y") == [(2, 25)] and model_spans("token = ZZZZZZZZZZZZ1234") == []
