@@ -545,3 +545,11 @@ def test_letters_and_what_stands_behind_a_base_finding_are_scored():
     access = "AKIA" + "A1" * 8
     assert model_spans(f"{access}/{'Zk' * 20}") == [(0, 61)] and model_spans(f"x {access} y") == []
     assert model_spans(f"x {access}/Zk y") == [(2, 25)] and model_spans("token = ZZZZZZZZZZZZ1234") == []
+
+
+def test_copies_are_one_labelled_finding(spark):
+    texts = ["see 555-0000-1111 and token = abcdefghijklmnop1234"] * 300 + [f"call 555-{k}-0000 or token = mnopqrstuvwxyz{k}" for k in range(1000, 1020)]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
+    for most in (4, 21):
+        codes, y = secrets.labelled_findings(frame, most=most)
+        assert len({x.tobytes() for x in codes}) == len(codes) == 2 * most and y.sum() == most
