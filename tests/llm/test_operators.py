@@ -432,6 +432,17 @@ def test_language_of_odd_rows(spark, odd):
     assert language.predict_language(odd.limit(0), language.learned_language(odd.limit(0))).count() == 0
 
 
+def test_recognised_keeps_clean_texts_without_labels_and_among_many_languages(spark):
+    frame = spark.createDataFrame([(1, "some text", None), (2, "12 34", None), (3, None, None), (4, "", None)], "doc_id long, text string, lang string")
+    model = language.learned_language(frame)
+    assert model is None and [r.doc_id for r in language.recognised(frame, model, 0.3).collect()] == [1]
+    names, zeros = [f"l{k}" for k in range(20)], np.zeros
+    direction = language.Direction(zeros((257, 3), np.float32), zeros((1, 2), np.float32), zeros((1, 1), np.float32))
+    for bias, kept in ((np.log(4.0), [1]), (0.0, [])):  # 0.17 for the first of twenty languages; an even share for all
+        flat = language.LanguageModel(names, direction, direction, zeros((2, 20), np.float32), np.array([bias] + [0] * 19, np.float32), 48)
+        assert [r.doc_id for r in language.recognised(frame, flat, 0.3).collect()] == kept
+
+
 # -- shards
 
 

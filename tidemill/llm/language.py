@@ -58,6 +58,10 @@ class Direction:
             out[t] = h
 
 
+#: A clear language has at least this many times the probability of an even share (0.3 with four languages).
+OVER_CHANCE = 1.2
+
+
 @dataclass
 class LanguageModel:
     languages: list[str]
@@ -231,10 +235,12 @@ def predict_language(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
 
 
 def recognised(docs: DataFrame, model: LanguageModel | None, least: float) -> DataFrame:
-    """The rows of ``docs``, all columns, whose language is found with a score of at least ``least``."""
-    if model is None:
-        return docs.limit(0)
+    """The rows of ``docs``, all columns, whose language is found with a score of at least ``least``, or of OVER_CHANCE
+    times an even share where many languages make that less; without a model, all that have a letter."""
     letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    if model is None:
+        return docs.where(letter)
+    least = min(least, OVER_CHANCE / len(model.languages))
 
     def batches(stream):
         for batch in stream:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from tidemill.llm import decontaminate, language, neardup, pieces, secrets
 from tidemill.llm.registry import table, with_bounded_batches
 
-#: Below this mean probability no language is taken as found.
+#: Below this mean probability no language is taken as found; with more than four languages the bound is lower.
 LEAST_SCORE = 0.3
 
 
