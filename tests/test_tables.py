@@ -196,3 +196,12 @@ def test_seeding_sends_every_row(spark):
     sent = spark.read.parquet(target)
     assert sent.count() == 500
     assert sent.filter(F.get_json_object("value", "$.media") == "m").count() == 500
+
+
+def test_many_well_compressed_rows_are_not_small(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    for n, few in ((100_000, True), (100_001, False)):
+        path = f"{tmp_path}/{n}"
+        spark.range(n).select(F.lit("one key").alias("rowkey")).write.parquet(path)
+        assert evaluate.sized(spark.read.parquet(path))[1] is few

@@ -65,11 +65,13 @@ def is_small(df: DataFrame) -> bool:
 
 def sized(df: DataFrame) -> tuple[DataFrame, bool]:
     """The frame and whether it is small.  A computed frame is written once, so
-    the size of its files decides and its lineage does not run again."""
+    the size of its files decides and its lineage does not run again.  Files
+    are compressed and tell no row count, so the rows of one that looks small
+    are counted, up to the bound."""
     if df.isStreaming:
         return df, False
     if "RDD" in df._jdf.queryExecution().optimizedPlan().toString() or not _plain(df):
         path = shared_dir(df.sparkSession, "sized")
         df.write.parquet(path)
         df = df.sparkSession.read.schema(df.schema).parquet(path)
-    return df, is_small(df)
+    return df, is_small(df) and df.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
