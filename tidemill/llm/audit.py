@@ -1,10 +1,11 @@
 """Operator 12: how filters act on each other, decided on a sparse document-term matrix.
 
-The words of a slice of documents get local codes; the distinct words of all slices form one dictionary with a number for
-each; the codes are then replaced by these numbers.  A shard holds the documents of a slice as compressed sparse rows:
-where each row begins, the term numbers and how often each term stands there.  The sum of a row's counts is its number of
-words, the number of its entries that of its distinct words.  Texts are read once and never shuffled: what moves is the
-distinct words of each slice and the shards.
+The distinct words of a slice of documents get local codes, in the order of the bucket that a word's hash names.  Each bucket
+of words is numbered once for all slices: together the buckets are one dictionary.  A shard holds the documents of a slice as
+compressed sparse rows: where each row begins, its terms and how often each stands there.  The sum of a row's counts is its
+number of words, the number of its entries that of its distinct words.  Texts are read once and never shuffled: what moves
+is the distinct words of each slice, as one row for each bucket, their numbers, and the matrix.  A word is told once for
+each slice, however often it stands there.
 
 Cases: a null text is empty; null and empty texts are equal to each other; a null source is the part with the empty name;
 rows of a null doc_id never copy a smaller one; repeated rows count each time; several labels of a document count as one that
@@ -22,14 +23,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemill.llm.registry import query, table
 from tidemill.llm.staging import staged
-from tidemill.llm.textbytes import code_points, repeat_index, runs, text_slices
+from tidemill.llm.textbytes import SpanHashes, code_points, repeat_index, runs, text_bytes, text_slices
 
 FILTERS = "ABCDE"
 LEAST_WORDS = 200
 LEAST_DISTINCT_PERCENT = 50
 MOST_CAPITALS_PERCENT = 2
 SIGNS = "#$%&*|"
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 8 << 20
 FULL = 120  # orders
 
 _SPACE = np.zeros(256, bool)
@@ -40,7 +41,11 @@ _SIGN = np.zeros(256, bool)
 _SIGN[[ord(c) for c in SIGNS]] = True
 BITS = {name: 1 << k for k, name in enumerate(FILTERS)}
 
-SHARD = "rows int, doc_id array<bigint>, part array<string>, digest array<binary>, signs array<int>, begins binary, codes binary, counts binary, words array<binary>"
+#: A term's number is its bucket's times this, and its place there.
+BUCKET_TERMS = 1 << 40
+DOCUMENTS = "doc_id array<bigint>, part array<string>, digest array<binary>, signs array<int>"
+SHARD = f"{DOCUMENTS}, begins binary, codes binary, counts binary, words array<struct<bucket: int, lengths: binary, spelled: binary>>"
+NUMBERED = "bucket int, shard long, first long, places binary, fresh array<binary>"
 
 
 def _rows_of(mask: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -50,70 +55,145 @@ def _rows_of(mask: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return total[offsets[1:]] - total[offsets[:-1]]
 
 
-def local_codes(data: np.ndarray, offsets: np.ndarray):
-    """The distinct words of a slice and its compressed sparse rows (begins, codes, counts).  Arrow compares whole words, so
-    no two words share a code."""
+def local_codes(data: np.ndarray, offsets: np.ndarray, buckets: int):
+    """The distinct words of a slice by bucket, and its compressed sparse rows (begins, codes, counts).  Arrow compares whole
+    words, so no two words share a code."""
     solid = ~_SPACE[data]
     starts, ends = runs(solid, offsets)
     if not len(starts):
-        return pa.array([], pa.binary()), np.zeros(len(offsets), np.int64), np.empty(0, np.uint32), np.empty(0, np.uint32)
+        return [], np.zeros(len(offsets), np.int64), np.empty(0, np.uint32), np.empty(0, np.uint32)
     bounds = np.zeros(len(starts) + 1, np.int64)
     np.cumsum(ends - starts, out=bounds[1:])
     spelled = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data[solid]))])
     coded = spelled.dictionary_encode()
+    letters, places = text_bytes(coded.dictionary)
+    bucket = (SpanHashes(letters).of(places[:-1], places[1:]) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    code = np.empty(len(order), np.int64)
+    code[order] = np.arange(len(order))
     rows = repeat_index(np.searchsorted(starts, offsets))
-    width = len(coded.dictionary)
-    cells, counts = np.unique(rows * width + coded.indices.to_numpy(), return_counts=True)
-    begins = np.searchsorted(cells, np.arange(len(offsets)) * width)
-    return coded.dictionary.cast(pa.binary()), begins, (cells % width).astype(np.uint32), counts.astype(np.uint32)
+    cells, counts = np.unique(rows * len(order) + code[coded.indices.to_numpy()], return_counts=True)
+    begins = np.searchsorted(cells, np.arange(len(offsets)) * len(order))
+    letters, places = text_bytes(coded.dictionary.take(pa.array(order)))
+    cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=buckets))
+    words = [
+        {"bucket": int(bucket[order[low]]), "lengths": np.diff(places[low : high + 1]).astype(np.uint32).tobytes(), "spelled": letters[places[low] : places[high]].tobytes()}
+        for low, high in zip(cuts[:-1], cuts[1:], strict=True)
+    ]
+    return words, begins, (cells % len(order)).astype(np.uint32), counts.astype(np.uint32)
 
 
-def _slices(batches):
-    """One row for each slice: its documents with the flags of single characters, its local matrix and words."""
+def narrow(numbers: np.ndarray) -> bytes:
+    """Numbers in as few bytes each as the largest needs, this width in front."""
+    width = next(w for w in (1, 2, 4) if not len(numbers) or numbers.max() < 1 << (8 * w))
+    return bytes((width,)) + numbers.astype(f"<u{width}").tobytes()
+
+
+def widened(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1)
+
+
+def _gathered(batches):
+    """Arrow batches put together to about the bytes of a shard."""
+    held, size = [], 0
     for batch in batches:
-        for rows, data, offsets in text_slices(batch, "text", SHARD_BYTES):
-            words, begins, codes, counts = local_codes(data, offsets)
-            points = code_points(data)
-            capitals = 100 * _rows_of(_CAPITAL[data], offsets) > MOST_CAPITALS_PERCENT * (points[offsets[1:]] - points[offsets[:-1]])
-            signs = BITS["C"] * capitals + BITS["D"] * (_rows_of(_SIGN[data], offsets) > 0)
-            lists = [pa.array([rows.column(k).to_pylist()], pa.list_(kind)) for k, kind in (("doc_id", pa.int64()), ("part", pa.string()), ("digest", pa.binary()))]
-            lists.append(pa.array([signs.astype(np.int32)], pa.list_(pa.int32())))
-            matrix = [pa.array([x.tobytes()], pa.binary()) for x in (begins.astype(np.int64), codes, counts)]
-            vocabulary = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)
-            names = ["rows", "doc_id", "part", "digest", "signs", "begins", "codes", "counts", "words"]
-            yield pa.RecordBatch.from_arrays([pa.array([rows.num_rows], pa.int32()), *lists, *matrix, vocabulary], names)
+        own = int(text_bytes(batch.column("text"))[1][-1])
+        if held and size + own > SHARD_BYTES:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+        held.append(batch)
+        size += own
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def _slices(buckets: int):
+    def batches(stream):
+        """One row for each slice: its documents with the flags of single characters, its local matrix and words."""
+        kept = (("doc_id", pa.int64()), ("part", pa.string()), ("digest", pa.binary()))
+        spelled = pa.list_(pa.struct([("bucket", pa.int32()), ("lengths", pa.binary()), ("spelled", pa.binary())]))
+        for batch in _gathered(stream):
+            for rows, data, offsets in text_slices(batch, "text", SHARD_BYTES):
+                words, begins, codes, counts = local_codes(data, offsets, buckets)
+                points = code_points(data)
+                capitals = 100 * _rows_of(_CAPITAL[data], offsets) > MOST_CAPITALS_PERCENT * (points[offsets[1:]] - points[offsets[:-1]])
+                signs = BITS["C"] * capitals + BITS["D"] * (_rows_of(_SIGN[data], offsets) > 0)
+                lists = [pa.array([rows.column(k).to_pylist()], pa.list_(kind)) for k, kind in kept]
+                lists.append(pa.array([signs.astype(np.int32)], pa.list_(pa.int32())))
+                steps = np.diff(codes.astype(np.int64), prepend=0)
+                steps[begins[:-1][np.diff(begins) > 0]] = codes[begins[:-1][np.diff(begins) > 0]]  # a row's first code is told whole
+                matrix = [pa.array([narrow(x)], pa.binary()) for x in (np.diff(begins), steps, counts)]
+                names = ["doc_id", "part", "digest", "signs", "begins", "codes", "counts", "words"]
+                yield pa.RecordBatch.from_arrays([*lists, *matrix, pa.array([words], spelled)], names)
+
+    return batches
 
 
 def local_shards(docs: DataFrame) -> DataFrame:
     """Written slices of documents, each with a number of its own (``shard``)."""
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     read = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("part"),
         F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("digest"), "text")
-    return staged(read.mapInArrow(_slices, SHARD).withColumn("shard", F.monotonically_increasing_id()), "audit-shards")
+    return staged(read.mapInArrow(_slices(buckets), SHARD).withColumn("shard", F.monotonically_increasing_id()), "audit-shards")
+
+
+def _numbered(batches):
+    """Places of words in their buckets, in the order in which they come; ``fresh`` are those not seen before."""
+    known: dict[int, dict[bytes, int]] = {}
+    for batch in batches:
+        found = []
+        for row in batch.to_pylist():
+            own = known.setdefault(row["bucket"], {})
+            lengths = np.frombuffer(row["lengths"], np.uint32).astype(np.int64)
+            ends = np.cumsum(lengths)
+            spelled, first = row["spelled"], len(own)
+            words = [spelled[a:b] for a, b in zip((ends - lengths).tolist(), ends.tolist(), strict=True)]
+            places = np.fromiter((own.setdefault(w, len(own)) for w in words), np.uint32, len(words))
+            found.append((row["bucket"], row["shard"], first, places.tobytes(), [w for w, p in zip(words, places.tolist(), strict=True) if p >= first]))
+        types = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.binary()))
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in found], t) for k, t in enumerate(types)], ["bucket", "shard", "first", "places", "fresh"])
 
 
-def dictionary(shards: DataFrame) -> DataFrame:
-    """``word, term``: every distinct word with a number of its own (numbers have gaps)."""
-    words = shards.select(F.explode("words").alias("word")).distinct()
-    return staged(words.withColumn("term", F.monotonically_increasing_id()), "audit-dictionary")
+def numbered_words(shards: DataFrame) -> DataFrame:
+    """The numbers of each shard's words.  A bucket is numbered by one task, and what it wrote holds: a task that runs again
+    may number in another order, but all shards read the same."""
+    words = shards.select("shard", F.explode("words").alias("w")).select("w.bucket", "shard", "w.lengths", "w.spelled")
+    buckets = int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return staged(words.repartition(buckets, "bucket").mapInArrow(_numbered, NUMBERED), "audit-numbers")
 
 
-def _encoded(batches):
-    for batch in batches:
-        terms = []
-        for row_codes, row_terms in zip(batch.column("codes"), batch.column("terms"), strict=True):
-            numbers = row_terms.values.to_numpy() if row_terms.is_valid else np.empty(0, np.int64)
-            terms.append(numbers[np.frombuffer(row_codes.as_py(), np.uint32)].astype(np.int64).tobytes())
-        kept = ["rows", "doc_id", "part", "digest", "signs", "begins"]
-        yield pa.RecordBatch.from_arrays([batch.column(k) for k in kept] + [pa.array(terms, pa.binary()), batch.column("counts")], [*kept, "terms", "counts"])
+def dictionary(numbers: DataFrame) -> DataFrame:
+    """``word, term``: every distinct word with its number."""
+    told = numbers.select("bucket", "first", F.posexplode("fresh").alias("at", "word"))
+    return told.select("word", (F.col("bucket") * F.lit(BUCKET_TERMS) + F.col("first") + F.col("at")).alias("term"))
 
 
-def term_matrix(shards: DataFrame, terms: DataFrame) -> DataFrame:
+def _encoded(batches):
+    for batch in batches:
+        begins, terms, counts = [], [], []
+        for row in range(batch.num_rows):
+            code = [batch.column(k)[row] for k in ("begins", "codes", "counts", "parts")]
+            own = np.concatenate([p["bucket"] * BUCKET_TERMS + np.frombuffer(p["places"], np.uint32).astype(np.int64) for p in code[3].as_py() or ()] or [np.empty(0, np.int64)])
+            sizes = widened(code[0].as_py()).astype(np.int64)
+            starts = np.zeros(len(sizes) + 1, np.int64)
+            np.cumsum(sizes, out=starts[1:])
+            steps = widened(code[1].as_py()).astype(np.int64)
+            sums = np.cumsum(steps)
+            firsts = starts[:-1]
+            before = np.where(firsts > 0, sums[np.maximum(firsts, 1) - 1], 0) if len(sums) else np.zeros(len(sizes), np.int64)
+            begins.append(starts.tobytes())
+            terms.append(own[sums - np.repeat(before, sizes)].tobytes())
+            counts.append(widened(code[2].as_py()).astype(np.uint32).tobytes())
+        kept = ["doc_id", "part", "digest", "signs"]
+        yield pa.RecordBatch.from_arrays([batch.column(k) for k in kept] + [pa.array(x, pa.binary()) for x in (begins, terms, counts)], [*kept, "begins", "terms", "counts"])
+
+
+def term_matrix(shards: DataFrame, numbers: DataFrame) -> DataFrame:
     """The shards as compressed sparse rows over the numbers of the dictionary (``begins``, ``terms``, ``counts``)."""
-    words = shards.select("shard", F.posexplode("words").alias("code", "word"))
-    numbers = words.join(terms, "word").groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("code", "term"))).alias("pairs"))
-    joined = shards.drop("words").join(numbers.select("shard", F.col("pairs.term").alias("terms")), "shard", "left")
-    return joined.drop("shard").mapInArrow(_encoded, "rows int, doc_id array<bigint>, part array<string>, digest array<binary>, signs array<int>, begins binary, terms binary, counts binary")
+    parts = numbers.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("bucket", "places"))).alias("parts"))
+    joined = shards.drop("words").join(parts, "shard", "left")
+    return joined.drop("shard").mapInArrow(_encoded, f"{DOCUMENTS}, begins binary, terms binary, counts binary")
 
 
 def _decided(batches):
@@ -135,7 +215,7 @@ def _decided(batches):
 def flagged(docs: DataFrame) -> DataFrame:
     """``doc_id, part, mask``: which filters each document fails, a bit for each."""
     shards = local_shards(docs)
-    matrix = term_matrix(shards, dictionary(shards))
+    matrix = term_matrix(shards, numbered_words(shards))
     rows = staged(matrix.mapInArrow(_decided, "doc_id long, part string, digest binary, mask int"), "audit-rows")
     copies = rows.groupBy("digest").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1").drop("n")
     copied = F.coalesce(F.col("doc_id") > F.col("least"), F.lit(False))
