@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import time
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -11,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.fixed_values import INDUSTRY_FIELDS, REPLY_SUCCESS
+from tidemill.functions.columns import free_prefix
 from tidemill.functions.jsons import (
     in_whitelist,
     industry_keys,
@@ -18,6 +20,7 @@ from tidemill.functions.jsons import (
     json_strings,
     reply_ok,
 )
+from tidemill.operators.calls import TIMEOUT, timed_calls
 from tidemill.operators.cells import project_cells
 from tidemill.session import shared_dir
 
@@ -32,23 +35,34 @@ def classify(
     max_attempts: int = 3,
     wait_seconds: float = 0.0,
     concurrency: int | None = None,
+    deadline_seconds: float | None = None,
+    in_flight: int = 10,
+    call_texts: int = 100,
 ) -> DataFrame:
-    """Add ``sub_industry_id`` (sorted ids), ``attempts`` and
-    ``classify_status`` (``ok``, ``failed`` or ``skipped`` for empty texts).
+    """Add ``sub_industry_id`` (sorted ids), ``attempts``, ``classify_status``
+    (``ok``, ``failed``, ``timeout``, or ``skipped`` for empty texts) and
+    ``classify_error``, what the last attempt of a failed text met.
 
     ``make_scorer`` is called once per task, so a client is opened once and
     used for all of its batches.  Only the text crosses to Python, in Arrow
     batches; other columns stay in the JVM.  Texts without a successful reply
     are sent again, at most ``max_attempts`` times, and then reported as
     failed.  ``concurrency`` bounds the number of tasks calling the service.
+
+    With ``deadline_seconds`` a batch is sent in calls of ``call_texts`` texts,
+    at most ``in_flight`` of them at once in a task (the scorer must bear that),
+    and a call that is not done in time counts as a failed attempt.  An error of
+    the service is a failed attempt too; ``TypeError``, ``AttributeError`` and
+    ``NameError`` are errors of the program and fail the task.
     """
+    p = free_prefix(posts.columns)
 
-    @F.pandas_udf("reply string, attempts int")
+    @F.pandas_udf("reply string, attempts int, error string")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = make_scorer()
         try:
             for texts in batches:
-                yield _score_batch(scorer, texts, max_attempts, wait_seconds)
+                yield _score_batch(scorer, texts, max_attempts, wait_seconds, deadline_seconds, in_flight, call_texts)
         finally:
             close = getattr(scorer, "close", None)
             if close:
@@ -56,16 +70,18 @@ def classify(
 
     source = posts.repartition(concurrency) if concurrency else posts
     # non-deterministic: the optimizer may neither repeat nor move the call
-    scored = source.withColumn("_s", score.asNondeterministic()(F.col(text)))
+    scored = source.withColumn(f"{p}s", score.asNondeterministic()(F.col(text)))
     # the reply is checked in a projection of its own, once
-    checked = scored.withColumn("_ok", reply_ok("_s.reply"))
-    status = F.when(F.col("_s.attempts") == 0, "skipped").when(F.col("_ok"), "ok").otherwise("failed")
-    return checked.select(
-        *posts.columns,
-        F.when(F.col("_ok"), industry_keys("_s.reply")).alias("sub_industry_id"),
-        F.col("_s.attempts").alias("attempts"),
-        status.alias("classify_status"),
-    )
+    checked = scored.withColumn(f"{p}ok", reply_ok(f"{p}s.reply"))
+    attempts, error, ok = F.col(f"{p}s.attempts"), F.col(f"{p}s.error"), F.col(f"{p}ok")
+    status = F.when(attempts == 0, "skipped").when(ok, "ok").when(error == TIMEOUT, TIMEOUT).otherwise("failed")
+    added = {
+        "sub_industry_id": F.when(ok, industry_keys(f"{p}s.reply")),
+        "attempts": attempts,
+        "classify_status": status,
+        "classify_error": error,
+    }
+    return checked.select(*[c for c in posts.columns if c not in added], *[c.alias(n) for n, c in added.items()])
 
 
 def _succeeded(reply: str | None) -> bool:
@@ -75,8 +91,12 @@ def _succeeded(reply: str | None) -> bool:
         return False
 
 
-def _score_batch(scorer: Scorer, texts: pd.Series, max_attempts: int, wait_seconds: float) -> pd.DataFrame:
+def _score_batch(
+    scorer: Scorer, texts: pd.Series, max_attempts: int, wait_seconds: float,
+    deadline_seconds: float | None, in_flight: int, call_texts: int,
+) -> pd.DataFrame:
     replies: list[str | None] = [None] * len(texts)
+    errors: list[str | None] = [None] * len(texts)
     attempts = [0] * len(texts)
     pending = [i for i, t in enumerate(texts) if t]
     for attempt in range(1, max_attempts + 1):
@@ -84,14 +104,73 @@ def _score_batch(scorer: Scorer, texts: pd.Series, max_attempts: int, wait_secon
             break
         if attempt > 1 and wait_seconds:
             time.sleep(wait_seconds)
-        try:
-            answers = scorer([texts.iloc[i] for i in pending])
-        except Exception:  # a failed call is a failed attempt for its texts
-            answers = [None] * len(pending)
-        for i, answer in zip(pending, answers, strict=True):
-            replies[i], attempts[i] = answer, attempt
+        step = len(pending) if deadline_seconds is None else call_texts
+        parts = [pending[k : k + step] for k in range(0, len(pending), step)]
+        outcomes = timed_calls(scorer, [[texts.iloc[i] for i in part] for part in parts], deadline_seconds, in_flight)
+        for part, outcome in zip(parts, outcomes, strict=True):
+            answers = [None] * len(part) if outcome.error else outcome.value
+            for i, answer in zip(part, answers, strict=True):
+                replies[i], attempts[i], errors[i] = answer, attempt, outcome.error
         pending = [i for i in pending if not _succeeded(replies[i])]
-    return pd.DataFrame({"reply": pd.Series(replies, dtype="object"), "attempts": attempts})
+    replied, failed = pd.Series(replies, dtype="object"), pd.Series(errors, dtype="object")
+    return pd.DataFrame({"reply": replied, "attempts": attempts, "error": failed})
+
+
+class Replies:
+    """Replies of a model by the digest of the text, in a folder that later runs use again.
+
+    Only successful replies are kept.  A run adds a folder of its own under a name that is new each time, so a run that
+    failed or ran twice leaves repeated rows at most, and these say the same.
+    """
+
+    SCHEMA = "digest binary, sub_industry_id array<string>"
+
+    def __init__(self, path: str):
+        self.path = path.rstrip("/")
+
+    def read(self, spark) -> DataFrame:
+        """``digest, sub_industry_id``, one row per digest."""
+        at = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+            return spark.createDataFrame([], self.SCHEMA)
+        kept = spark.read.schema(self.SCHEMA).option("recursiveFileLookup", "true").parquet(self.path)
+        return kept.groupBy("digest").agg(F.min("sub_industry_id").alias("sub_industry_id"))
+
+    def add(self, replies: DataFrame) -> None:
+        replies.select("digest", "sub_industry_id").write.parquet(f"{self.path}/{uuid.uuid4().hex}")
+
+
+def classify_distinct(
+    posts: DataFrame, make_scorer: Callable[[], Scorer], replies: Replies | None = None, text: str = "post_content", **options
+) -> DataFrame:
+    """``classify`` with one call for each distinct text, and none for texts that ``replies`` holds.
+
+    Equal texts shrink to one row per task before they are shuffled, by their SHA-256.  Posts whose text was not sent here
+    have 0 ``attempts`` and the status ``ok``; the others share what their text met.  The posts meet the replies by digest,
+    texts included: a shuffle against a call per copy.
+    """
+    p = free_prefix(posts.columns)
+    digest, spark = f"{p}digest", posts.sparkSession
+    keyed = posts.withColumn(digest, F.unhex(F.sha2(F.col(text), 256)))
+    sent = keyed.where(F.length(text) > 0).groupBy(F.col(digest).alias("digest")).agg(F.any_value(text).alias("post_content"))
+    known = None
+    if replies is not None:
+        known = staged(replies.read(spark))
+        sent = sent.join(known, "digest", "left_anti")
+    made = staged(classify(sent, make_scorer, **options).drop("post_content"))
+    if known is not None:
+        replies.add(made.where("classify_status = 'ok'"))
+        old = {"attempts": F.lit(0), "classify_status": F.lit("ok"), "classify_error": F.lit(None).cast("string")}
+        made = made.unionByName(known.withColumns(old))
+    reply = F.struct("sub_industry_id", "attempts", "classify_status", "classify_error").alias(f"{p}r")
+    found = keyed.join(made.select(F.col("digest").alias(digest), reply), digest, "left")
+    added = {
+        "sub_industry_id": F.col(f"{p}r.sub_industry_id"),
+        "attempts": F.coalesce(f"{p}r.attempts", F.lit(0)),
+        "classify_status": F.coalesce(f"{p}r.classify_status", F.lit("skipped")),
+        "classify_error": F.col(f"{p}r.classify_error"),
+    }
+    return found.select(*[c for c in posts.columns if c not in added], *[c.alias(n) for n, c in added.items()])
 
 
 def keep_whitelisted(posts: DataFrame, ids: str = "sub_industry_id") -> DataFrame:
@@ -147,7 +226,7 @@ def lookup_parents(
     entries = dimension.select(
         F.col("id").cast("string"), F.col("parent_id").cast("string")
     ).filter(F.col("id").isNotNull() & F.col("parent_id").isNotNull())
-    columns, rows = posts.columns, 1
+    columns, rows, p = posts.columns, 1, free_prefix(posts.columns)
     if strategy != "join":
         rows, size = measure(entries)
         fits = rows <= MAX_INLINE_ENTRIES and size <= MAX_INLINE_BYTES
@@ -155,7 +234,7 @@ def lookup_parents(
             raise ValueError(f"dimension of {rows} rows, {size} bytes is too large to inline")
         strategy = "inline" if fits else "reduce"
     if strategy != "inline":
-        posts = staged(posts.withColumn("_row", F.monotonically_increasing_id()))
+        posts = staged(posts.withColumn(f"{p}row", F.monotonically_increasing_id()))
     if strategy == "reduce":
         occurring = posts.select(F.explode(ids).alias("id")).distinct()
         entries = staged(entries.join(occurring, "id", "left_semi"))
@@ -163,20 +242,20 @@ def lookup_parents(
         fits = rows <= MAX_INLINE_ENTRIES and size <= MAX_INLINE_BYTES
         strategy = "inline" if fits else "join"
     if strategy == "inline":
-        found = _inline_parents(posts, entries, ids, max(rows, 1))
+        found = _inline_parents(posts, entries, ids, max(rows, 1), p)
     else:
-        found = _joined_parents(posts, entries, ids)
+        found = _joined_parents(posts, entries, ids, p)
 
     status = (
-        F.when((F.col("_n_ids") == 0) | (F.size("_parents") > 0), "ok").otherwise("unmatched")
+        F.when((F.col(f"{p}n_ids") == 0) | (F.size(f"{p}parents") > 0), "ok").otherwise("unmatched")
     )
     if "classify_status" in columns:
-        status = F.when(F.col("classify_status") == "failed", "failed").otherwise(status)
-    kept = [c for c in columns if c != ids]
+        status = F.when(F.col("classify_status").isin("failed", TIMEOUT), "failed").otherwise(status)
+    kept = [c for c in columns if c not in (ids, "parent_id", "enrich_status")]
     return found.select(
         *kept,
-        F.col("_ids").alias(ids),
-        join_ids("_parents").alias("parent_id"),
+        F.col(f"{p}ids").alias(ids),
+        join_ids(f"{p}parents").alias("parent_id"),
         status.alias("enrich_status"),
     )
 
@@ -198,7 +277,7 @@ def _slot(c: Column, slots: int) -> Column:
     return F.pmod(F.xxhash64(c), F.lit(slots)).cast("int")
 
 
-def _inline_parents(posts: DataFrame, entries: DataFrame, ids: str, slots: int) -> DataFrame:
+def _inline_parents(posts: DataFrame, entries: DataFrame, ids: str, slots: int, p: str) -> DataFrame:
     """The dimension as one array of about one entry per slot, found by the
     hash of the id: constant work per id, where a map value is searched from
     the front.  It reaches the rows as a scalar subquery, so there is no join.
@@ -219,7 +298,7 @@ def _inline_parents(posts: DataFrame, entries: DataFrame, ids: str, slots: int)
     )
 
     def matches(one_id: Column) -> Column:
-        slot = F.col("_table")[_slot(one_id, slots)]["entries"]
+        slot = F.col(f"{p}table")[_slot(one_id, slots)]["entries"]
         hits = F.filter(slot, lambda e: e["id"] == one_id)
         return F.transform(F.coalesce(hits, F.array()), lambda e: e["parent_id"])
 
@@ -233,29 +312,29 @@ def _inline_parents(posts: DataFrame, entries: DataFrame, ids: str, slots: int)
 
     kept = [c for c in posts.columns if c != ids]
     return (
-        posts.withColumn("_table", table.scalar())
-        .select(*kept, F.transform(F.array(ids), derive)[0].alias("_d"))
+        posts.withColumn(f"{p}table", table.scalar())
+        .select(*kept, F.transform(F.array(ids), derive)[0].alias(f"{p}d"))
         .select(
             *kept,
-            F.col("_d.ids").alias("_ids"),
-            F.col("_d.n_ids").alias("_n_ids"),
-            F.col("_d.parents").alias("_parents"),
+            F.col(f"{p}d.ids").alias(f"{p}ids"),
+            F.col(f"{p}d.n_ids").alias(f"{p}n_ids"),
+            F.col(f"{p}d.parents").alias(f"{p}parents"),
         )
     )
 
 
-def _joined_parents(posts: DataFrame, entries: DataFrame, ids: str) -> DataFrame:
-    """By joins, for a dimension of any size.  ``(_row, id)`` pairs meet the
+def _joined_parents(posts: DataFrame, entries: DataFrame, ids: str, p: str) -> DataFrame:
+    """By joins, for a dimension of any size.  ``(row, id)`` pairs meet the
     dimension without the posts' other columns; an id in most posts is a skewed
     join, which Spark splits.  The parents of a post then meet it by its row
     number."""
-    pairs = posts.select("_row", F.explode(F.array_distinct(ids)).alias("id"))
-    parents = pairs.join(entries, "id").groupBy("_row").agg(F.collect_set("parent_id").alias("_parents"))
+    pairs = posts.select(f"{p}row", F.explode(F.array_distinct(ids)).alias("id"))
+    parents = pairs.join(entries, "id").groupBy(f"{p}row").agg(F.collect_set("parent_id").alias(f"{p}parents"))
     return (
-        posts.withColumn("_ids", join_ids(ids))
-        .withColumn("_n_ids", _count(ids))
-        .join(parents, "_row", "left")
-        .withColumn("_parents", F.coalesce("_parents", F.array()))
+        posts.withColumn(f"{p}ids", join_ids(ids))
+        .withColumn(f"{p}n_ids", _count(ids))
+        .join(parents, f"{p}row", "left")
+        .withColumn(f"{p}parents", F.coalesce(f"{p}parents", F.array()))
     )
 
 

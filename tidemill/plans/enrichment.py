@@ -14,7 +14,7 @@ from tidemill.operators.clean import as_results, clean_posts
 from tidemill.operators.decode import decode_posts
 from tidemill.operators.documents import latest_by
 from tidemill.operators.enrich import classify, lookup_parents, split_failures
-from tidemill.streaming.logs import BatchLog, refuse_stale
+from tidemill.streaming.logs import BatchLog
 from tidemill.streaming.run import BatchFunction, Snapshot, fan_out, start
 
 POSITION = ["topic", "partition", "offset"]
@@ -111,6 +111,6 @@ def start_enrichment(
         last = tables.documents.read_batch(batch.sparkSession, batch_id).drop("meta_id")
         tables.cells.write(to_cells(last, version=batch_id), batch_id)
 
-    refuse_stale(messages.sparkSession, checkpoint, [tables.results])
     process = fan_out(tables.results, [documents, cells, *sinks], enrich)
-    return start(messages, process, checkpoint, once=once)
+    logs = [tables.rejects, tables.documents, tables.cells]
+    return start(messages, process, checkpoint, once=once, logs=logs)

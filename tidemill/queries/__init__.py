@@ -2,6 +2,6 @@
 must give the same result."""
 
 from tidemill.queries.registry import ORACLES, QUERIES
-from tidemill.queries import decode, enrich, events, keys, streams, tables, text  # noqa: F401
+from tidemill.queries import decode, enrich, events, keyed, keys, streams, tables, text  # noqa: F401
 
 __all__ = ["ORACLES", "QUERIES"]

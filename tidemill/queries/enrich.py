@@ -15,6 +15,7 @@ from tidemill.queries import inputs
 from tidemill.queries import sqltext as S
 from tidemill.queries.decode import _industry_messages
 from tidemill.queries.registry import query, table
+from tidemill.session import shared_dir
 
 
 def stand_in_scorer():
@@ -62,6 +63,48 @@ def classify_posts(spark, sf):
     )
 
 
+def hanging_scorer():
+    """The stand-in model over a line that hangs for texts whose length divides by 49."""
+    import time
+
+    def score(texts):
+        if any(len(text) % 49 == 0 for text in texts):
+            time.sleep(4)
+        return ['{"msg":"成功","data":[{}]}' for _ in texts]
+
+    return score
+
+
+@query(
+    "classify_deadline",
+    """SELECT doc_id, 1 AS attempts, CASE WHEN length(text) % 49 = 0 THEN 'timeout' ELSE 'ok' END AS classify_status,
+CASE WHEN length(text) % 49 = 0 THEN 'timeout' END AS classify_error FROM documents""",
+)
+def classify_deadline(spark, sf):
+    """Calls that hang cost their texts, and no other text waits for them."""
+    docs = spread(table(spark, sf, "documents")).select("doc_id", F.col("text").alias("post_content"))
+    scored = E.classify(docs, hanging_scorer, max_attempts=1, deadline_seconds=2.0, in_flight=10, call_texts=1)
+    return scored.select("doc_id", "attempts", "classify_status", "classify_error")
+
+
+@query(
+    "classify_distinct",
+    f"""SELECT doc_id, CASE WHEN length(text) % 7 <> 0 THEN
+{inputs.ids_text_sql(inputs.word_ids_sql('text'))} END AS ids,
+CASE WHEN length(text) % 7 = 0 THEN 3 WHEN doc_id % 2 = 0 OR text IN (SELECT text FROM documents WHERE doc_id % 2 = 0)
+THEN 0 ELSE 1 END AS attempts,
+CASE WHEN length(text) % 7 = 0 THEN 'failed' ELSE 'ok' END AS classify_status FROM documents""",
+)
+def classify_distinct(spark, sf):
+    """Each distinct text is sent once.  The even documents were sent by an earlier run: their texts, and those of their
+    copies, are not sent again unless the model did not answer."""
+    docs = spread(table(spark, sf, "documents")).select("doc_id", F.col("text").alias("post_content"))
+    replies = E.Replies(shared_dir(spark, "replies"))
+    E.classify_distinct(docs.where("doc_id % 2 = 0"), stand_in_scorer, replies)
+    scored = E.classify_distinct(docs, stand_in_scorer, replies)
+    return scored.select("doc_id", F.array_join("sub_industry_id", ",").alias("ids"), "attempts", "classify_status")
+
+
 LOOKUP_SQL = f"""WITH i AS (SELECT doc_id, {inputs.word_ids_sql('text')} AS ids FROM documents),
 p AS (SELECT doc_id, {inputs.ids_text_sql('ids')} AS sub_industry_id, {inputs.parents_sql('ids')} AS parent_id FROM i)
 SELECT *, CASE WHEN sub_industry_id = '' OR parent_id <> '' THEN 'ok' ELSE 'unmatched' END AS enrich_status FROM p"""
@@ -86,6 +129,35 @@ def lookup_parents_join(spark, sf):
     )
 
 
+KEYED_FORMS_SQL = f"""WITH i AS (SELECT {{key}} AS key, doc_id, doc_id % 7 AS _row, {inputs.word_ids_sql('text')} AS ids FROM documents)
+SELECT form, key, doc_id, _row, {inputs.parents_sql('ids')} AS parent_id FROM i, (VALUES ('inline'), ('join')) AS f(form)"""
+
+
+def _keyed_forms(spark, sf, key):
+    """Both forms over posts of a key, with a column whose name the library might use itself."""
+    posts = spread(table(spark, sf, "documents")).select(
+        key.alias("key"), "doc_id", (F.col("doc_id") % 7).alias("_row"), inputs.word_ids("text").alias("sub_industry_id")
+    )
+    found = [
+        E.lookup_parents(posts, dimension(spark, sf), ["key"], strategy=form).select(
+            F.lit(form).alias("form"), "key", "doc_id", "_row", "parent_id"
+        )
+        for form in ("inline", "join")
+    ]
+    return found[0].unionByName(found[1])
+
+
+@query("lookup_duplicate_keys", KEYED_FORMS_SQL.format(key="lang"))
+def lookup_duplicate_keys(spark, sf):
+    """Posts of one key are posts of their own."""
+    return _keyed_forms(spark, sf, F.col("lang"))
+
+
+@query("lookup_null_keys", KEYED_FORMS_SQL.format(key="CASE WHEN doc_id % 2 = 0 THEN source END"))
+def lookup_null_keys(spark, sf):
+    return _keyed_forms(spark, sf, F.when(F.col("doc_id") % 2 == 0, F.col("source")))
+
+
 @query(
     "lookup_by_customer",
     """WITH p AS (SELECT c.o_orderkey, string_agg(DISTINCT n_name, ',' ORDER BY n_name) AS parent_id

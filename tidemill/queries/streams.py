@@ -7,6 +7,7 @@ what the sinks wrote below the shared directory.
 from pyspark.sql import functions as F
 
 from tidemill.operators import clean
+from tidemill.operators.enrich import lookup_parents
 from tidemill.plans.enrichment import EnrichmentTables, start_enrichment
 from tidemill.plans.router import start_router
 from tidemill.queries import inputs
@@ -18,15 +19,19 @@ from tidemill.queries.enrich import (
     dimension,
     stand_in_scorer,
 )
-from tidemill.queries.events import HOUR_SQL, LATE_BY_TYPE_SQL, MINUTE_SQL, cents, jittered
+from tidemill.queries.events import HOUR_SQL, JITTERED_SQL, LATE_BY_TYPE_SQL, MINUTE_SQL, cents, jittered
 from tidemill.queries.keys import GROUPS_SQL
 from tidemill.queries.registry import query, table
 from tidemill.session import shared_dir
+from tidemill.sources.committed import FORMAT, Committed, committed_sink, read_committed
 from tidemill.sources.streams import file_stream
 from tidemill.streaming import windows as W
+from tidemill.streaming.keyed import KeyedTable
+from tidemill.streaming.keyed_late import flag_late_stream
 from tidemill.streaming.late import LATE, ON_TIME, LateSplit
 from tidemill.streaming.logs import BatchLog
 from tidemill.streaming.run import Snapshot, fan_out, log_sink, start
+from tidemill.streaming.snapshots import BoundSnapshot
 
 
 def table_stream(spark, sf, name):
@@ -55,6 +60,12 @@ def work_off(spark, sf, name, order, begin):
         finish(begin(file_stream(spark, folder, rows.schema)))
 
 
+def part_sql(order, rows):
+    """The part in which ``work_off`` delivers a row."""
+    low, high = (f"(SELECT {f}({order}) FROM {rows})" for f in ("min", "max"))
+    return f"(({order} - {low}) // (({high} - {low}) // {PARTS} + 1))"
+
+
 def conversation_stream(spark, sf):
     return decorated_turns(table_stream(spark, sf, "conversations"))
 
@@ -123,6 +134,58 @@ def replay_safe(spark, sf):
     return log.read(spark).select("event_id", "event_type")
 
 
+@query("replay_new_checkpoint", "SELECT event_id, event_type FROM events")
+def replay_new_checkpoint(spark, sf):
+    """A new checkpoint counts its batches from 0: over logs that have batches it is refused, and they keep them."""
+    base = shared_dir(spark, "checkpoints")
+    split = LateSplit(f"{base}/late", "event_ms", "event_id", ["event_type"])
+    log = BatchLog(f"{base}/log")
+    sinks = {"late": split.process, "log": log_sink(log), "both": fan_out(BatchLog(f"{base}/stage"), [log_sink(log)])}
+    events = jittered(table_stream(spark, sf, "events"))
+    for name in ("late", "log"):
+        finish(start(events, sinks[name], f"{base}/checkpoint-{name}", once=True))
+    for name, sink in sinks.items():
+        try:
+            finish(start(events.limit(1), sink, f"{base}/another-{name}", once=True))
+        except ValueError:
+            continue
+        raise AssertionError(f"{name} was overwritten")
+    late = split.records.read(spark).select("event_id", "event_type")
+    return log.read(spark).select("event_id", "event_type").join(late, ["event_id", "event_type"])
+
+
+@query("exactly_once_sink", "SELECT event_id, event_type FROM events")
+def exactly_once_sink(spark, sf):
+    """A sink outside Spark's writers: every batch is delivered twice and is there once."""
+    base = shared_dir(spark, "outside")
+    sink = committed_sink(f"{base}/sink", "events")
+
+    def twice(batch, batch_id):
+        sink(batch, batch_id)
+        sink(batch, batch_id)
+
+    def begin(events):
+        return start(events.select("event_id", "event_type"), twice, f"{base}/checkpoint", once=True)
+
+    work_off(spark, sf, "events", "event_id", begin)
+    return read_committed(spark, f"{base}/sink", "event_id long, event_type string")
+
+
+@query("exactly_once_stream", f"""SELECT topic, partition, "offset", value FROM ({inputs.MESSAGES_SQL})""")
+def exactly_once_stream(spark, sf):
+    """The same sink behind Spark's own stream writer."""
+    base = shared_dir(spark, "outside")
+    spark.dataSource.register(Committed)
+
+    def begin(events):
+        messages = inputs.messages(events).select("topic", "partition", "offset", "value")
+        writer = messages.writeStream.format(FORMAT).option("path", f"{base}/sink").option("stream", "messages")
+        return writer.option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start()
+
+    work_off(spark, sf, "events", "event_id", begin)
+    return read_committed(spark, f"{base}/sink", "topic string, partition int, offset long, value string")
+
+
 def _windows(spark, sf, size_ms, slide_ms, offset_ms, lateness_ms):
     """Windows across the borders of the parts are refined, their state carried."""
     base = shared_dir(spark, "windows")
@@ -170,6 +233,71 @@ def late_records_stream(spark, sf):
     return flagged[0].unionByName(flagged[1])
 
 
+def _late_keyed(spark, sf, arrival):
+    base = shared_dir(spark, "keyed")
+    log = BatchLog(f"{base}/log")
+
+    def begin(events):
+        flagged = flag_late_stream(jittered(events), "event_ms", ["event_type"], arrival)
+        return start(flagged, log_sink(log), f"{base}/checkpoint", once=True)
+
+    work_off(spark, sf, "events", "event_id", begin)
+    return log.read(spark).select("event_id", "event_type", "event_ms", "late")
+
+
+@query("late_records_keyed", LATE_BY_TYPE_SQL)
+def late_records_keyed(spark, sf):
+    """The greatest event time as state of the key, over three starts."""
+    return _late_keyed(spark, sf, "event_id")
+
+
+@query(
+    "late_records_unordered",
+    f"""SELECT event_id, event_type, event_ms, coalesce(event_ms <= max(event_ms) OVER (PARTITION BY event_type ORDER BY part
+RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 2500, false) AS late
+FROM (SELECT *, {part_sql('event_id', 'events')} AS part FROM ({JITTERED_SQL}))""",
+)
+def late_records_unordered(spark, sf):
+    """Without an arrival number: against what came in earlier batches."""
+    return _late_keyed(spark, sf, None)
+
+
+@query(
+    "lookup_changing_dimension",
+    f"""SELECT o_orderkey, part, coalesce((SELECT string_agg(p, ',' ORDER BY p) FROM (SELECT DISTINCT (n_regionkey + part)::VARCHAR AS p
+FROM nation WHERE n_nationkey IN (o_custkey % 30, length(o_orderpriority)))), '') AS parent_id
+FROM (SELECT *, {part_sql('o_orderkey', 'orders')} AS part FROM orders)""",
+)
+def lookup_changing_dimension(spark, sf):
+    """Before each part the parents change.  A batch reads the version bound to it, also when it runs again later."""
+    base = shared_dir(spark, "versions")
+    kept = KeyedTable(f"{base}/nations", "id string, parent_id string", ["id"], 4)
+    snapshot, log = BoundSnapshot(spark, kept, f"{base}/bound"), BatchLog(f"{base}/log")
+    nations, part, stage = table(spark, sf, "nation"), 0, BatchLog(f"{base}/orders")
+
+    def look_up(batch_id):
+        ids = F.array((F.col("o_custkey") % 30).cast("string"), F.length("o_orderpriority").cast("string"))
+        orders = stage.read_batch(spark, batch_id).select("o_orderkey", ids.alias("ids"))
+        found = lookup_parents(orders, snapshot.at(batch_id), ids="ids")
+        log.write(found.select("o_orderkey", "parent_id"), batch_id)
+
+    def process(batch, batch_id):
+        stage.write(batch, batch_id)
+        look_up(batch_id)
+        if batch_id:  # the batch before runs again, and the dimension has changed meanwhile
+            look_up(batch_id - 1)
+
+    def begin(orders):
+        nonlocal part
+        parents = (F.col("n_regionkey") + part).cast("string").alias("parent_id")
+        kept.upsert(nations.select(F.col("n_nationkey").cast("string").alias("id"), parents))
+        part += 1
+        return start(orders, process, f"{base}/checkpoint", once=True, logs=[stage, log])
+
+    work_off(spark, sf, "orders", "o_orderkey", begin)
+    return log.read(spark).select("o_orderkey", F.col("batch_id").cast("long").alias("part"), "parent_id")
+
+
 @query(
     "route_stream",
     f"""WITH m AS (SELECT * FROM ({TIMED_SQL}) WHERE {inputs.IS_OBJECT_SQL}),

@@ -40,6 +40,7 @@ class LateSplit:
     ):
         self.records = BatchLog(f"{base}/records", ("output",))
         self.high = BatchLog(f"{base}/high")
+        self.logs = [self.records, self.high]
         self.event_ms, self.arrival, self.keys = event_ms, arrival, list(keys or [])
         self.delay_ms, self.block_rows, self.levels = delay_ms, block_rows, levels
 

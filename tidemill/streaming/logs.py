@@ -17,14 +17,14 @@ from tidemill.operators.documents import latest_by
 
 
 def refuse_stale(spark: SparkSession, checkpoint: str, logs: list[BatchLog]) -> None:
-    """Raise if a new checkpoint would start over logs that have batches: its
-    batch ids begin at 0 again and would overwrite theirs."""
+    """Raise if a new checkpoint would start over logs that have batches, of
+    whatever number: its batch ids begin at 0 again and would overwrite theirs."""
     path = spark._jvm.org.apache.hadoop.fs.Path
-    there = lambda name: path(name).getFileSystem(spark._jsc.hadoopConfiguration()).exists(path(name))
-    if there(f"{checkpoint}/commits"):
+    system = lambda name: path(name).getFileSystem(spark._jsc.hadoopConfiguration())
+    if system(checkpoint).exists(path(f"{checkpoint}/commits")):
         return
     for log in logs:
-        if there(log.batch_path(0)):
+        if system(log.path).globStatus(path(f"{log.path}/batch_id=*")):
             raise ValueError(f"{log.path} holds batches of another checkpoint; choose a new folder")
 
 

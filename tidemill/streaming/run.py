@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemill import fixed_values as fv
-from tidemill.streaming.logs import BatchLog
+from tidemill.streaming.logs import BatchLog, refuse_stale
 
 # A batch function gets a bounded frame and the id of its micro-batch.
 BatchFunction = Callable[[DataFrame, int], None]
@@ -21,13 +21,19 @@ def start(
     output_mode: str = "append",
     once: bool = False,
     name: str | None = None,
+    logs: Sequence[BatchLog] = (),
 ) -> StreamingQuery:
     """Run ``process`` on every micro-batch, resuming from ``checkpoint``.
 
+    A new checkpoint over a log that has batches is refused: they would be
+    overwritten.  The logs of ``log_sink``, ``fan_out`` and ``LateSplit`` are
+    known; those that a function of the caller's writes are named in ``logs``.
+
     Batches start every 60 seconds, or with ``once`` the available input is
     worked off and the query ends.  A batch may be repeated after a failure,
     so ``process`` must write by batch id or by key.
     """
+    refuse_stale(stream.sparkSession, checkpoint, [*logs, *written_logs(process)])
     writer = (
         stream.writeStream.foreachBatch(process)
         .outputMode(output_mode)
@@ -39,6 +45,12 @@ def start(
     return writer.trigger(**trigger).start()
 
 
+def written_logs(process: BatchFunction) -> list[BatchLog]:
+    """The logs that a batch function says it writes (``logs`` of the function,
+    or of the object whose method it is)."""
+    return list(getattr(process, "logs", None) or getattr(getattr(process, "__self__", None), "logs", None) or [])
+
+
 def fan_out(stage: BatchLog, sinks: list[BatchFunction], transform=None) -> BatchFunction:
     """One batch to several sinks.
 
@@ -54,6 +66,7 @@ def fan_out(stage: BatchLog, sinks: list[BatchFunction], transform=None) -> Batc
         for sink in sinks:
             sink(staged, batch_id)
 
+    process.logs = [stage, *[log for sink in sinks for log in written_logs(sink)]]
     return process
 
 
@@ -63,6 +76,7 @@ def log_sink(log: BatchLog, shape: Callable[[DataFrame, int], DataFrame] | None
     def write(batch: DataFrame, batch_id: int) -> None:
         log.write(shape(batch, batch_id) if shape else batch, batch_id)
 
+    write.logs = [log]
     return write
 
 
