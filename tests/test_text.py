@@ -140,23 +140,31 @@ def test_many_websites_equal_the_plain_pattern(spark):
     from tidemill.functions import text as X
 
     draw = random.Random(4)
-    parts = ["www", "www.", ".com", ".cn", "a", " ", "\n", ".", "w", "ww", "x.y"]
-    rows = [("".join(draw.choices(parts, k=draw.randint(1, 40))),) for _ in range(20_000)]
+    parts = ["www", "www.", ".com", ".com.cn", ".cn", "a", " ", "\n", ".", "w", "ww", "x.y", "\ue000", "\ue001", fv.WEBSITE_MARK,
+             "#", "#t ", "https:", "Tel. 1", "Tel.2,", "Email Address: ", "Email Address:"]
+    rows = [("".join(draw.choices(parts, k=draw.randint(1, 40))),) for _ in range(100_000)]
     frame = spark.createDataFrame(rows, "t string")
     before, X._MANY_WWW = X._MANY_WWW, 0
     try:
-        found = frame.select(X.mark_websites("t").alias("a"), F.regexp_replace("t", fv.WEBSITE, fv.WEBSITE_MARK).alias("b"))
-        assert found.filter("not a <=> b").count() == 0
+        found = frame.select(
+            X.mark_websites("t").alias("a"), F.regexp_replace("t", fv.WEBSITE, fv.WEBSITE_MARK).alias("b"),
+            X.remove_noise_and_websites("t").alias("c"), F.regexp_replace("t", X.NOISE_PATTERN_BASIC, "").alias("d"),
+        )
+        assert found.filter("not a <=> b or not c <=> d").count() == 0
+        assert found.filter("a != t and c != t and a != c").count() > 1000
     finally:
         X._MANY_WWW = before
 
 
-def test_a_long_run_of_www_is_linear(spark):
+@pytest.mark.parametrize("first", ["", "\ue000", "\ue001 "])
+@pytest.mark.parametrize("profile", ["full", "basic"])
+def test_a_long_run_of_www_is_linear(spark, profile, first):
     import time
 
     from tidemill.functions import text as X
 
-    frame = spark.range(1).select(F.repeat(F.lit("www"), 350_000).alias("t"))
+    step = X.mark_websites if profile == "full" else X.remove_noise_and_websites
+    frame = spark.range(1).select(F.concat(F.lit(first), F.repeat(F.lit("www"), 350_000)).alias("t"))
     began = time.perf_counter()
-    assert frame.select(X.mark_websites("t").alias("a")).filter("length(a) = 1050000").count() == 1
-    assert time.perf_counter() - began < 20
+    assert frame.select(step("t").alias("a")).filter(f"length(a) = {1_050_000 + len(first)}").count() == 1
+    assert time.perf_counter() - began < 10

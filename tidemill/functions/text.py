@@ -95,7 +95,19 @@ def mark_websites(c: Column | str) -> Column:
 
 # Texts with more ``www`` than this take the linear way.
 _MANY_WWW = 16
-_OPEN, _CLOSE = "\ue000", "\ue001"
+
+
+def _failing_run(stop: str = "") -> str:
+    """What a website pattern has read in vain from a ``www`` on: its run of
+    non-blanks, up to a ``www`` before a blank, which may begin a website in the
+    next run, and up to ``stop``."""
+    end = rf"www\s|{stop}" if stop else r"www\s"
+    return rf"(?!wwwww?\s)www(?:(?!{end})\S)*+"
+
+
+def _many_www(text: Column) -> Column:
+    count = F.char_length(text) - F.char_length(F.replace(text, F.lit("www"), F.lit("")))
+    return F.contains(text, F.lit("www")) & (count > 3 * _MANY_WWW)
 
 
 def _replace_websites(text: Column, pattern: str, mark: str) -> Column:
@@ -103,18 +115,26 @@ def _replace_websites(text: Column, pattern: str, mark: str) -> Column:
 
     The pattern fails at a ``www`` only after the rest of its run of non-blanks
     has been read, and would read it again from each further ``www``.  So a
-    failing run is consumed once, as a match of its own between two private
-    characters, up to a ``www`` at its end, which may belong to the next run.
-    Texts with few ``www``, or with those characters, take the plain pattern.
+    failing run is consumed once, as a match of its own behind a mark.  It
+    begins with ``www``, and nothing else that does follows a mark directly: a
+    mark in front of ``www`` is the run's and goes.
     """
     plain = F.regexp_replace(text, pattern, mark)
-    failing = r"w(?=ww)(?:(?!www\s)\S)*+"
-    found = F.regexp_replace(text, f"{pattern}|({failing})", f"{_OPEN}$1{_CLOSE}")
-    marked = F.replace(found, F.lit(_OPEN + _CLOSE), F.lit(mark))
-    linear = F.translate(marked, _OPEN + _CLOSE, "")
-    many = (F.char_length(text) - F.char_length(F.replace(text, F.lit("www"), F.lit("")))) > 3 * _MANY_WWW
-    private = F.contains(text, F.lit(_OPEN)) | F.contains(text, F.lit(_CLOSE))
-    return F.when(many & ~private, linear).otherwise(plain)
+    found = F.regexp_replace(text, f"{pattern}|({_failing_run()})", f"{mark}$1")
+    linear = F.replace(found, F.lit(f"{mark}www"), F.lit("www"))
+    return F.when(_many_www(text), linear).otherwise(plain)
+
+
+_BASIC_LINEAR = _token_pattern((*fv.NOISE_TOKENS, fv.WEBSITE_BASIC, f"({_failing_run('|'.join(fv.NOISE_TOKENS))})"))
+
+
+def remove_noise_and_websites(c: Column | str) -> Column:
+    """Delete the noise tokens and websites of the basic profile, newlines kept.
+    A failing run ends before a token, which may stand inside of it."""
+    text = as_column(c)
+    return F.when(_many_www(text), F.regexp_replace(text, _BASIC_LINEAR, "$1")).otherwise(
+        F.regexp_replace(text, NOISE_PATTERN_BASIC, "")
+    )
 
 
 def remove_replacement_chars(c: Column | str) -> Column:
@@ -225,7 +245,7 @@ STEPS = {
     # the older profile: websites are deleted, ideographs, emoji and escapes
     # stay, and so does the final dot
     "basic": (
-        (lambda c: F.regexp_replace(as_column(c), NOISE_PATTERN_BASIC, ""), None),
+        (remove_noise_and_websites, None),
         (collapse_spaces, _holds("  ")),
         (drop_end_dots, None),
         (tidy_sentences, None),
