@@ -53,11 +53,14 @@ def project_cells(
         )
     else:
         narrow = cells.filter(wanted).select("rowkey", "qualifier", "version", "value")
-    newest = [
-        F.max(F.when(F.col("qualifier") == q, F.struct("version", "value")))["value"].alias(q)
-        for q in qualifiers
-    ]
-    return narrow.groupBy("rowkey").agg(*newest)
+    numbered = narrow.select("rowkey", "qualifier", F.struct("version", "value").alias("_n"))
+    newest = [F.expr(f"max(_n) FILTER (WHERE qualifier = {_quoted(q)})")["value"].alias(q) for q in qualifiers]
+    return numbered.groupBy("rowkey").agg(*newest)
+
+
+def _quoted(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def get_rows(cells: DataFrame, keys: DataFrame, family: str | None = None) -> DataFrame:
@@ -65,20 +68,18 @@ def get_rows(cells: DataFrame, keys: DataFrame, family: str | None = None) -> Da
     each row as a ``qualifier -> value`` map, empty for unknown keys.
 
     Without ``family`` equal qualifiers of several families compete by version.
-    Few keys are broadcast and filter the scan.  For many, the versions are
-    reduced first, so that a row with very many of them is small when all its
-    cells meet in one task.
+    The keys filter the cells before these are reduced: few are broadcast, and
+    then nothing but their cells is shuffled; for many, both sides are joined by
+    key, and a row with very many cells is a skewed join, which Spark splits.
+    Versions then combine map-side.
     """
     keys, few = sized(keys.select("rowkey"))
     wanted = keys.distinct()
     scope = cells if family is None else cells.filter(F.col("family") == family)
-    if few:
-        scope = scope.join(F.broadcast(wanted), "rowkey", "left_semi")
+    scope = scope.join(F.broadcast(wanted) if few else wanted, "rowkey", "left_semi")
     newest = scope.groupBy("rowkey", "qualifier").agg(
         F.max(F.struct("version", "family", "value"))["value"].alias("value")
     )
-    if not few:
-        newest = newest.join(wanted, "rowkey", "left_semi")
     # at most one entry per qualifier is left, so a row's map is its own size
     maps = newest.groupBy("rowkey").agg(
         F.map_from_entries(
@@ -95,17 +96,20 @@ def _unpivot(df: DataFrame, columns: dict[str, Column], version, family: str) ->
     """``rowkey`` plus named value columns to cells, NULL values left out."""
     stamp = version if isinstance(version, Column) else F.lit(version)
     return (
-        df.select(
-            "rowkey",
-            stamp.cast("long").alias("version"),
-            *[column.alias(name) for name, column in columns.items()],
-        )
-        .unpivot(["rowkey", "version"], list(columns), "qualifier", "value")
+        df.select("rowkey", stamp.cast("long").alias("version"), _as_rows(columns).alias("_c"))
+        .select("rowkey", F.lit(family).alias("family"), "_c.qualifier", "version", "_c.value")
         .filter(F.col("value").isNotNull())
-        .select("rowkey", F.lit(family).alias("family"), "qualifier", "version", "value")
     )
 
 
+def _as_rows(columns: dict[str, Column]) -> Column:
+    """Named columns as rows ``qualifier, value``.  Spark's own unpivot gives its
+    columns in a form that generated code with structs behind it cannot take as
+    arguments: the stage then runs interpreted."""
+    pairs = [F.struct(F.lit(name).alias("qualifier"), c.alias("value")) for name, c in columns.items()]
+    return F.explode(F.array(*pairs) if pairs else F.array().cast("array<struct<qualifier:string,value:string>>"))
+
+
 def to_cells(
     df: DataFrame, key: str = "rowkey", version=0, family: str = fv.CELL_FAMILY
 ) -> DataFrame:
@@ -162,12 +166,11 @@ def record_cells(
     )
     if order is not None:
         keyed = latest_by(keyed, ["table", "rowkey"], F.col("_order")).drop("_order")
+    family = F.lit(fv.CELL_FAMILY).alias("family")
     return (
-        keyed.unpivot(["table", "rowkey", "version"], list(names.values()), "qualifier", "value")
+        keyed.select("table", "rowkey", "version", _as_rows({q: F.col(q) for q in names.values()}).alias("_c"))
+        .select("table", "rowkey", family, "_c.qualifier", "version", "_c.value")
         .filter(F.col("value").isNotNull())
-        .select(
-            "table", "rowkey", F.lit(fv.CELL_FAMILY).alias("family"), "qualifier", "version", "value"
-        )
     )
 
 

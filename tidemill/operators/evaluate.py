@@ -36,42 +36,25 @@ def spread(df: DataFrame) -> DataFrame:
 
 MAX_BROADCAST_ROWS = 100_000
 MAX_BROADCAST_BYTES = 8 << 20
-_NEVER_GROW = ("Project", "Filter", "Aggregate", "Relation", "LocalRelation", "LogicalRelation", "LogicalRDD", "SubqueryAlias", "LocalLimit", "GlobalLimit", "Sort", "Range")
-
-
-def _plain(df: DataFrame) -> bool:
-    """Whether no step of the plan makes rows, so that its size is a bound."""
-    open_nodes = [df._jdf.queryExecution().optimizedPlan()]
-    while open_nodes:
-        node = open_nodes.pop()
-        if node.nodeName().split(" ")[0] not in _NEVER_GROW:
-            return False
-        open_nodes += [node.children().apply(k) for k in range(node.children().size())]
-    return True
 
 
 def is_small(df: DataFrame) -> bool:
-    """Whether a bounded frame stays below the broadcast bounds, by the
-    optimizer's size of what it reads.  No job runs; a plan with steps that
-    make rows, or with a source of unknown size, counts as large."""
-    if df.isStreaming or not _plain(df):
-        return False
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    rows = stats.rowCount()
-    if rows.isDefined() and int(str(rows.get())) > MAX_BROADCAST_ROWS:
+    """Whether a written frame stays below the broadcast bounds.  Rows are
+    counted in the files' footers; only those of a frame with few rows are read,
+    to sum up their bytes (as JSON, which is no shorter than the values)."""
+    if df.count() > MAX_BROADCAST_ROWS:
         return False
-    return int(str(stats.sizeInBytes())) <= MAX_BROADCAST_BYTES
+    size = F.octet_length(F.to_json(F.struct(*df.columns)))
+    return (df.agg(F.sum(size)).first()[0] or 0) <= MAX_BROADCAST_BYTES
 
 
 def sized(df: DataFrame) -> tuple[DataFrame, bool]:
-    """The frame and whether it is small.  A computed frame is written once, so
-    the size of its files decides and its lineage does not run again.  Files
-    are compressed and tell no row count, so the rows of one that looks small
-    are counted, up to the bound."""
+    """The frame as a written table, and whether it is small.  What is written
+    is measured as it is, its lineage does not run again, and a model or a
+    random value in it gives one answer for all uses."""
     if df.isStreaming:
         return df, False
-    if "RDD" in df._jdf.queryExecution().optimizedPlan().toString() or not _plain(df):
-        path = shared_dir(df.sparkSession, "sized")
-        df.write.parquet(path)
-        df = df.sparkSession.read.schema(df.schema).parquet(path)
-    return df, is_small(df) and df.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
+    path = shared_dir(df.sparkSession, "sized")
+    df.write.parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    return written, is_small(written)
