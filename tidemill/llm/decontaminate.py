@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemill.llm.neardup import numbered
+from tidemill.llm.neardup import numbered, row_name
 from tidemill.llm.registry import query, table
 from tidemill.llm.staging import staged
 from tidemill.llm.textbytes import mix, repeat_index, text_slices, window_hashes, words
@@ -168,7 +168,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) ->
 
     ``row`` tells the rows of ``docs`` apart within this result; another read may number them otherwise.
     """
-    items = benchmark.select("item_id", "text")
+    items = benchmark.select("item_id", "text").where(F.length("text") > 0)  # others match nothing and have no bound in bytes
     own = _small(items)
     if own is None:
         return _joined(numbered(docs.select("doc_id", "text")), items, cover)
@@ -233,12 +233,13 @@ def _joined(docs: DataFrame, items: DataFrame, cover: float) -> DataFrame:
 
 def without_passages(docs: DataFrame, benchmark: DataFrame, cover: float = COVER) -> DataFrame:
     """The rows of ``docs``, all columns, that no item contaminates."""
-    items = benchmark.select("item_id", "text")
+    items = benchmark.select("item_id", "text").where(F.length("text") > 0)  # others match nothing and have no bound in bytes
     own = _small(items)
     if own is None:
-        docs = numbered(docs)
-        spoiled = _joined(docs, items, cover).select("row").distinct()
-        return docs.join(spoiled.withColumnRenamed("row", "__row"), "__row", "left_anti").drop("__row")
+        row = row_name(docs.columns)
+        docs = numbered(docs, row)
+        spoiled = _joined(docs.select(F.col(row).alias("__row"), "doc_id", "text"), items, cover).select("row").distinct()
+        return docs.join(spoiled.withColumnRenamed("row", row), row, "left_anti").drop(row)
 
     def batches(stream):
         for batch in stream:

@@ -12,6 +12,7 @@ lang is not null.  Languages are the values of lang seen in the learning rows.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
@@ -107,10 +108,11 @@ class LanguageModel:
         return total / np.maximum(sizes, 1)[:, None]
 
 
-def _windows(data, offsets, span, count, rng) -> list[bytes]:
-    """``count`` windows at random places of each text."""
+def _windows(data, offsets, span, count, seed) -> list[bytes]:
+    """``count`` windows at random places of each text, drawn from the text itself: splits and batches change nothing."""
     out = []
     for low, high in zip(offsets[:-1], offsets[1:]):
+        rng = np.random.default_rng([seed, *np.frombuffer(sha256(data[low:high].tobytes()).digest(), np.uint32).tolist()])
         for _ in range(count):
             at = int(rng.integers(low, max(low + 1, high - span + 1)))
             out.append(data[at : min(at + span, high)].tobytes())
@@ -129,8 +131,7 @@ def training_windows(docs: DataFrame, *, span: int, per_language: int, per_docum
     def cut(stream):
         for batch in stream:
             data, offsets = text_bytes(batch.column("text"))
-            rng = np.random.default_rng(seed + len(data))
-            found = _windows(data, offsets, span, per_document, rng)
+            found = _windows(data, offsets, span, per_document, seed)
             langs = np.repeat(np.array(batch.column("lang").to_pylist(), object), per_document)
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), pa.array(langs, pa.string())], ["piece", "lang"])
 

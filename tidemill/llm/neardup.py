@@ -126,13 +126,21 @@ def _lists(owners: np.ndarray, values: np.ndarray, n: int) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(places), pa.array(values))
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` written with a row number ``__row``.
+def row_name(names: list[str]) -> str:
+    """A name for a row number that no column has."""
+    name = "__row"
+    while name in {n.lower() for n in names}:
+        name += "_"
+    return name
+
+
+def numbered(docs: DataFrame, name: str = "__row") -> DataFrame:
+    """``docs`` written with a row number.
 
     A row number depends on the file splits, and these on the cores at the time of a read; so it is drawn once, and all
     reads that are joined by it take it from what was written.
     """
-    return staged(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered-rows")
+    return staged(docs.withColumn(name, F.monotonically_increasing_id()), "numbered-rows")
 
 
 def signed_rows(docs: DataFrame) -> DataFrame:
@@ -319,14 +327,15 @@ def representatives(docs: DataFrame) -> DataFrame:
 
     Rows with a null text stay, each for itself.
     """
-    docs = numbered(docs)
-    found = staged(classes(docs).where("key is not null"), "near-members")
+    row = row_name(docs.columns)
+    docs = numbered(docs, row)
+    found = staged(classes(docs.select(F.col(row).alias("__row"), "doc_id", "text")).where("key is not null"), "near-members")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     groups = found.groupBy("label").agg(F.min(order).alias("best"))
     kept = groups.select(F.col("best.row").alias("row"))
-    dropped = staged(found.select("row").join(kept, "row", "left_anti").withColumnRenamed("row", "__row"), "near-dropped")
+    dropped = staged(found.select("row").join(kept, "row", "left_anti").withColumnRenamed("row", row), "near-dropped")
     few = dropped.count() * 16 <= BROADCAST_BYTES
-    return docs.join(F.broadcast(dropped) if few else dropped, "__row", "left_anti").drop("__row")
+    return docs.join(F.broadcast(dropped) if few else dropped, row, "left_anti").drop(row)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
