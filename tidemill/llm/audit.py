@@ -217,7 +217,8 @@ def flagged(docs: DataFrame) -> DataFrame:
     shards = local_shards(docs)
     matrix = term_matrix(shards, numbered_words(shards))
     rows = staged(matrix.mapInArrow(_decided, "doc_id long, part string, digest binary, mask int"), "audit-rows")
-    copies = rows.groupBy("digest").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1").drop("n")
+    # written, so that both sides of the join are plain shuffles and a text with very many copies can be split
+    copies = staged(rows.groupBy("digest").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1").drop("n"), "audit-copies")
     copied = F.coalesce(F.col("doc_id") > F.col("least"), F.lit(False))
     return rows.join(copies, "digest", "left").select("doc_id", "part", F.col("mask").bitwiseOR(F.when(copied, BITS["E"]).otherwise(0)).alias("mask"))
 
