@@ -195,7 +195,8 @@ def tiled(nodes: DataFrame, parts: int, tile: int = TILE) -> DataFrame:
     tiles, dealt by a hash, so that no group outgrows a task."""
     counted = nodes.select("mark", _counts(parts).alias("counts"))
     sizes = counted.groupBy("counts").agg(F.ceil(F.count("*") / tile).cast("long").alias("tiles"))
-    dealt = counted.join(sizes, "counts").withColumn("tile", F.pmod(F.xxhash64("mark"), F.col("tiles")))
+    # 17 ** 4 counts at most for up to four parts, 16 bytes each; with more the join is a shuffle by many counts
+    dealt = counted.join(F.broadcast(sizes) if parts <= 4 else sizes, "counts").withColumn("tile", F.pmod(F.xxhash64("mark"), F.col("tiles")))
     return staged(dealt.groupBy("counts", "tile").agg(F.collect_list("mark").alias("marks")), "simhash-tiles")
 
 
