@@ -30,7 +30,7 @@ LEAST_WORDS = 200
 LEAST_DISTINCT_PERCENT = 50
 MOST_CAPITALS_PERCENT = 2
 SIGNS = "#$%&*|"
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 FULL = 120  # orders
 
 _SPACE = np.zeros(256, bool)
@@ -71,10 +71,12 @@ def local_codes(data: np.ndarray, offsets: np.ndarray, buckets: int):
     order = np.argsort(bucket, kind="stable")
     code = np.empty(len(order), np.int64)
     code[order] = np.arange(len(order))
-    rows = repeat_index(np.searchsorted(starts, offsets))
-    cells, counts = np.unique(rows * len(order) + code[coded.indices.to_numpy()], return_counts=True)
+    cells = repeat_index(np.searchsorted(starts, offsets)) * len(order) + code[coded.indices.to_numpy()]
+    del spelled, bounds, starts, ends, solid
+    cells, counts = np.unique(cells, return_counts=True)
     begins = np.searchsorted(cells, np.arange(len(offsets)) * len(order))
     letters, places = text_bytes(coded.dictionary.take(pa.array(order)))
+    del coded
     cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=buckets))
     words = [
         {"bucket": int(bucket[order[low]]), "lengths": np.diff(places[low : high + 1]).astype(np.uint32).tobytes(), "spelled": letters[places[low] : places[high]].tobytes()}

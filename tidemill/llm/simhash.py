@@ -275,7 +275,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, fingerprint, component_id`` of every row."""
     rows = staged(printed(docs), "simhash-marks")
     nodes = staged(rows.groupBy("mark").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "simhash-nodes")
-    roots = components(node_links(nodes.select("mark")))
+    roots = components(staged(node_links(nodes.select("mark")), "simhash-links"))  # compared once, read by each branch of a round
     of = nodes.join(roots, nodes["mark"] == roots["node"], "left").select("mark", "least", "n", "root", F.coalesce("root", "mark").alias("name"))
     names = of.groupBy("name").agg(F.min("least").alias("component_id"), F.sum("n").alias("size"))
     # a document alone in its component is its own name and meets nothing
