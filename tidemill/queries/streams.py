@@ -19,13 +19,14 @@ from tidemill.queries.enrich import (
     dimension,
     stand_in_scorer,
 )
-from tidemill.queries.events import HOUR_SQL, JITTERED_SQL, LATE_BY_TYPE_SQL, MINUTE_SQL, cents, jittered
+from tidemill.queries.events import CENTS_SQL, HOUR_SQL, JITTER_SQL, JITTERED_SQL, LATE_BY_TYPE_SQL, MINUTE_SQL, cents, jittered
 from tidemill.queries.keys import GROUPS_SQL
 from tidemill.queries.registry import query, table
 from tidemill.session import shared_dir
 from tidemill.sources.committed import FORMAT, Committed, committed_sink, read_committed
 from tidemill.sources.streams import file_stream
 from tidemill.streaming import windows as W
+from tidemill.streaming.final_windows import final_windows
 from tidemill.streaming.keyed import KeyedTable
 from tidemill.streaming.keyed_late import flag_late_stream
 from tidemill.streaming.late import LATE, ON_TIME, LateSplit
@@ -214,6 +215,48 @@ def allowed_lateness(spark, sf):
     return _windows(spark, sf, 60_000, 10_000, -8 * 3_600_000, 1)
 
 
+FINAL_SIZE, FINAL_SLIDE = 3_600_000, 300_000
+
+
+def final_windows_sql(delay_ms):
+    """A row counts if its pane ends behind the watermark of the parts before; a window is told if the last one reached it."""
+    return f"""WITH e AS (SELECT event_type, {CENTS_SQL} AS cents, {part_sql('event_id', 'events')} AS part,
+epoch_us(ts) // 1000 - {JITTER_SQL} AS ms, ms // {FINAL_SLIDE} * {FINAL_SLIDE} AS pane FROM events),
+w AS (SELECT part + 1 AS part, max(max(ms)) OVER (ORDER BY part) - {delay_ms} AS mark FROM e GROUP BY e.part),
+r AS (SELECT e.* FROM e LEFT JOIN w ON w.part = e.part WHERE mark IS NULL OR pane + {FINAL_SLIDE} > mark)
+SELECT event_type, s AS window_start, s + {FINAL_SIZE} AS window_end, count(*) AS n, sum(cents)::BIGINT AS sum, min(cents) AS min,
+max(cents) AS max, sum(cents)::DOUBLE / count(*) AS avg
+FROM (SELECT *, unnest(range(pane - {FINAL_SIZE - FINAL_SLIDE}, pane + 1, {FINAL_SLIDE})) AS s FROM r)
+WHERE s + {FINAL_SIZE} <= (SELECT max(mark) FROM w) GROUP BY ALL"""
+
+
+def _final_windows(spark, sf, lateness_ms):
+    base = shared_dir(spark, "final")
+    log = BatchLog(f"{base}/log")
+
+    def begin(events):
+        shift = F.unix_millis(F.col("ts").cast("timestamp")) - F.expr(JITTER_SQL)
+        rows = events.select("event_type", shift.alias("ms"), cents())
+        timed = W.with_watermark(W.with_event_time(rows, "ms", "millis"), lateness_ms=lateness_ms)
+        stream = final_windows(timed, ["event_type"], "cents", FINAL_SIZE, FINAL_SLIDE)
+        return start(stream, log_sink(log), f"{base}/checkpoint", once=True)
+
+    work_off(spark, sf, "events", "event_id", begin)
+    return log.read(spark).drop("batch_id")
+
+
+@query("final_windows", final_windows_sql(2500))
+def windows_told_once(spark, sf):
+    """Each window once, when the watermark has reached its end; what comes later is left out."""
+    return _final_windows(spark, sf, 0)
+
+
+@query("final_windows_late", final_windows_sql(2500 + 3_600_000))
+def windows_told_later(spark, sf):
+    """With an hour of allowed lateness the rows that were set back count, and the last windows are told later."""
+    return _final_windows(spark, sf, 3_600_000)
+
+
 @query("late_records_stream", LATE_BY_TYPE_SQL)
 def late_records_stream(spark, sf):
     """The greatest event times pass from part to part."""
