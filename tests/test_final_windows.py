@@ -25,11 +25,12 @@ def told(spark, batches, delay_ms=5_000, lateness_ms=0):
 
 
 def expected(batches, delay_ms):
-    """One batch after another; a row counts if its pane ends behind the watermark of the batches before."""
-    mark, kept = 0, []
+    """One batch after another in one run; a row counts if its pane ends behind the watermark with which the batch before it
+    freed its state."""
+    mark, before, kept = 0, 0, []
     for batch in batches:
-        kept += [r for r in batch if r[1] // SLIDE * SLIDE + SLIDE > mark]
-        mark = max([mark, *[r[1] - delay_ms for r in batch]])
+        kept += [r for r in batch if r[1] // SLIDE * SLIDE + SLIDE > before]
+        before, mark = mark, max([mark, *[r[1] - delay_ms for r in batch]])
     found = {}
     for k, ms, v in kept:
         pane = ms // SLIDE * SLIDE
@@ -41,8 +42,8 @@ def expected(batches, delay_ms):
 
 BATCHES = [
     [("a", 100_000, 1), ("a", 110_000, 2), ("b", 170_000, 3)],
-    [("a", 105_000, 4), ("a", 161_000, 5), ("b", 300_000, 6)],  # the first comes after its pane
-    [("a", 250_000, 7), ("b", 299_000, 8), ("a", 400_000, 9)],
+    [("a", 105_000, 4), ("a", 161_000, 5), ("b", 300_000, 6)],
+    [("a", 250_000, 7), ("b", 299_000, 8), ("a", 400_000, 9), ("b", 130_000, 10)],
 ]
 
 

@@ -20,7 +20,7 @@ def final_windows(
     windows that cover it, by its last moment.  So a row costs one update, where windows over rows cost ``size / slide``
     of them, and the state holds the panes and windows that can still change, whatever has passed before.
 
-    A window is told when the watermark reaches its end.  Rows whose pane has ended by then are late and left out;
+    A window is told when the watermark reaches its end.  Rows whose pane was told by an earlier batch are late and left out;
     ``windows.with_watermark`` takes the delay and the allowed lateness, and ``late`` or ``keyed_late`` keep late rows.
     Windows at the end of the input that the watermark has not reached are not told.
     """
