@@ -6,6 +6,10 @@ read).  Distinct words of one length advance together: all substrings are hashed
 pieces, and for each position the best sum of scores and its backpointer are taken at once.  A character that no piece
 covers becomes byte pieces.  Of equal sums, the longer last piece wins.  Decoding joins the bytes of the pieces.
 
+A long word (unspaced script, base64) is first cut where no piece of the vocabulary matches across: the best path of the
+whole passes there, so its parts are words of their own and advance together with others of their length.  A part that is
+still long and has few others of its length advances alone, over the matches only, block by block.
+
 Cases: a null or empty text has no pieces and decodes to the empty text; U+2581 in a text decodes to a space, as it is the
 model's mark for one (``exact`` is then false); repeated rows get equal results; extra columns are dropped.
 """
@@ -29,6 +33,12 @@ SLICE = 1 << 19
 KEPT_WORDS = 150_000
 #: Substrings probed at once.
 TOGETHER = 1 << 18
+#: Words of more bytes are cut where no piece crosses.
+LONG = 64
+#: Long parts of one length that are worth advancing together.
+MANY = 32
+#: Positions whose matches a part that advances alone holds at once.
+BLOCK = 1 << 15
 
 
 @dataclass
@@ -131,6 +141,70 @@ def _viterbi(vocabulary: Vocabulary, data: np.ndarray, spans: SpanHashes, starts
     return out, count
 
 
+def _matches(vocabulary: Vocabulary, spans: SpanHashes, positions: np.ndarray, limits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begins (as indices of ``positions``), lengths and piece indices of all pieces that begin there and end by the limits."""
+    at, sizes, pieces = [], [], []
+    for length in vocabulary.lengths:
+        able = np.flatnonzero(positions + length <= limits)
+        found = vocabulary.probe(spans.of(positions[able], positions[able] + length))
+        hit = np.flatnonzero(found >= 0)
+        at.append(able[hit])
+        sizes.append(np.full(len(hit), length, np.int64))
+        pieces.append(found[hit])
+    return np.concatenate(at), np.concatenate(sizes), np.concatenate(pieces)
+
+
+def _cuts(vocabulary: Vocabulary, spans: SpanHashes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Places inside the given words that no matching piece crosses."""
+    sizes = ends - starts
+    edges = np.concatenate([[0], np.cumsum(sizes)])
+    shift = np.repeat(starts - edges[:-1], sizes)
+    crossing = np.zeros(edges[-1] + 1, np.int32)  # changes of the number of pieces across a place
+    for low in range(0, len(shift), TOGETHER):
+        own = np.arange(low, min(low + TOGETHER, len(shift)))
+        at, length, _ = _matches(vocabulary, spans, own + shift[own], np.repeat(ends, sizes)[own])
+        np.add.at(crossing, low + at + 1, 1)
+        np.add.at(crossing, low + at + length, -1)
+    free = np.cumsum(crossing)[:-1] == 0
+    free[edges[:-1]] = False  # the words' own starts
+    free = np.flatnonzero(free)
+    return free + shift[free]
+
+
+def _advance_alone(vocabulary: Vocabulary, data: np.ndarray, spans: SpanHashes, start: int, size: int) -> np.ndarray:
+    """Ids of one long word: sums are carried forward over the matches, in the order of their begins."""
+    back, step_id = np.zeros(size + 1, np.int32), np.zeros(size + 1, np.int32)
+    reach = int(vocabulary.lengths[0])
+    best, came, chosen = [0.0] + [-np.inf] * reach, [0] * (reach + 1), [0] * (reach + 1)
+    for low in range(0, size, BLOCK):
+        n = min(BLOCK, size - low)
+        positions = np.arange(start + low, start + low + n)
+        at, length, piece = _matches(vocabulary, spans, positions, np.full(n, start + size))
+        order = np.argsort(at, kind="stable")
+        first = np.searchsorted(at[order], np.arange(n + 1)).tolist()
+        steps, ids, worth = length[order].tolist(), vocabulary.ids[piece[order]].tolist(), vocabulary.scores[piece[order]].tolist()
+        code = data[positions]
+        alone, alone_id = np.where((code & 0xC0) == 0x80, 0.0, vocabulary.unknown).tolist(), vocabulary.byte_ids[code].tolist()
+        best, came, chosen = best + [-np.inf] * n, came + [0] * n, chosen + [0] * n
+        # an earlier begin is a longer last piece, and keeps its place against an equal sum
+        for here in range(n):
+            so_far = best[here]
+            for k in range(first[here], first[here + 1]):
+                end, total = here + steps[k], so_far + worth[k]
+                if total > best[end]:
+                    best[end], came[end], chosen[end] = total, steps[k], ids[k]
+            total = so_far + alone[here]
+            if total > best[here + 1]:
+                best[here + 1], came[here + 1], chosen[here + 1] = total, 1, alone_id[here]
+        back[low + 1 : low + n + 1], step_id[low + 1 : low + n + 1] = came[1 : n + 1], chosen[1 : n + 1]
+        best, came, chosen = best[n:], came[n:], chosen[n:]
+    lengths, places, at = back.tolist(), [], size
+    while at > 0:
+        places.append(at)
+        at -= lengths[at]
+    return step_id[places[::-1]]
+
+
 def _ragged(places: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     """Indices of the elements of the chosen lists, one after another."""
     low, size = places[chosen], places[chosen + 1] - places[chosen]
@@ -143,12 +217,16 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self._forget()
-
-    def _forget(self) -> None:
         self.known, self.places, self.pieces = np.empty(0, np.uint64), np.zeros(1, np.int64), np.empty(0, np.int32)
         self.slots = np.empty(0, np.int64)
 
+    def _forget(self) -> None:
+        """Drop the half of the kept words that came first."""
+        half = (len(self.places) - 1) // 2
+        late = self.slots >= half
+        self.known, self.slots = self.known[late], self.slots[late] - half
+        self.pieces, self.places = self.pieces[self.places[half] :].copy(), self.places[half:] - self.places[half]
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and the n + 1 offsets into them."""
         n = len(offsets) - 1
@@ -171,6 +249,10 @@ class Encoder:
         starts = np.flatnonzero(begins)
         ends = np.concatenate([starts[1:], [len(spaced)]]) if len(starts) else starts
         spans = SpanHashes(spaced)
+        long = ends - starts > LONG
+        if long.any():
+            starts = np.sort(np.concatenate([starts, _cuts(self.vocabulary, spans, starts[long], ends[long])]))
+            ends = np.concatenate([starts[1:], [len(spaced)]])
         unique, first, inverse = np.unique(spans.of(starts, ends), return_index=True, return_inverse=True)
         slot = self._slots(unique, spaced, spans, starts[first], ends[first])
         per_word = slot[inverse]
@@ -193,6 +275,11 @@ class Encoder:
             parts, counts = [], []
             for own in np.split(todo, cuts):
                 size = int(ends[own[0]] - starts[own[0]])
+                if size > LONG and len(own) < MANY:
+                    for start in starts[own]:
+                        parts.append(_advance_alone(self.vocabulary, data, spans, int(start), size))
+                        counts.append([len(parts[-1])])
+                    continue
                 step = max(1, TOGETHER // (4 * size))
                 for low in range(0, len(own), step):
                     found, count = _viterbi(self.vocabulary, data, spans, starts[own[low : low + step]], size)
