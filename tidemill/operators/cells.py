@@ -74,6 +74,11 @@ def get_rows(cells: DataFrame, keys: DataFrame, family: str | None = None) -> Da
     Versions then combine map-side.
     """
     keys, few = sized(keys.select("rowkey"))
+    return rows_of(cells, keys, few, family)
+
+
+def rows_of(cells: DataFrame, keys: DataFrame, few: bool, family: str | None = None) -> DataFrame:
+    """``get_rows`` for written keys that have been measured."""
     wanted = keys.distinct()
     scope = cells if family is None else cells.filter(F.col("family") == family)
     scope = scope.join(F.broadcast(wanted) if few else wanted, "rowkey", "left_semi")

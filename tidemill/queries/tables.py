@@ -13,6 +13,7 @@ from tidemill.queries.keys import GROUPS_SQL
 from tidemill.queries.registry import query, table
 from tidemill.session import shared_dir
 from tidemill.sources import files
+from tidemill.sources.sorted_cells import SortedCells
 
 # -- cells -----------------------------------------------------------------------
 
@@ -77,6 +78,63 @@ def get_rows(spark, sf):
     return rows.select("rowkey", F.array_join(text, ",").alias("cells"))
 
 
+LINE_FILES = 64
+
+
+def _line_cells(spark, sf):
+    """Order lines as cells, a column family for each line status; keys sort as numbers do."""
+    lines = table(spark, sf, "lineitem").select(
+        F.lpad(F.col("l_orderkey").cast("string"), 12, "0").alias("rowkey"),
+        F.col("l_linestatus").alias("family"),
+        F.concat(F.lit("line"), F.col("l_linenumber").cast("string")).alias("qualifier"),
+        F.col("l_partkey").cast("long").alias("version"),
+        F.col("l_suppkey").cast("string").alias("value"),
+    )
+    kept = SortedCells(shared_dir(spark, "sorted-cells"))
+    kept.write(lines, LINE_FILES)
+    return kept
+
+
+LINE_CELLS_SQL = """c AS (SELECT lpad(l_orderkey::VARCHAR, 12, '0') AS rowkey, l_linestatus AS family,
+'line' || l_linenumber AS qualifier, l_partkey::BIGINT AS version, max(l_suppkey::VARCHAR) AS value
+FROM lineitem GROUP BY ALL)"""
+
+
+@query("sorted_cells", f"WITH {LINE_CELLS_SQL} SELECT * FROM c")
+def sorted_cells(spark, sf):
+    """All cells of the layout, repeated ones once."""
+    return _line_cells(spark, sf).read(spark)
+
+
+@query(
+    "sorted_cell_scan",
+    f"""WITH {LINE_CELLS_SQL}, r AS (SELECT lpad((max(l_orderkey) // 4)::VARCHAR, 12, '0') AS a,
+lpad((max(l_orderkey) // 2)::VARCHAR, 12, '0') AS b FROM lineitem) SELECT c.* FROM c, r WHERE rowkey >= a AND rowkey < b""",
+)
+def sorted_cell_scan(spark, sf):
+    """The second quarter of the row keys."""
+    greatest = table(spark, sf, "lineitem").agg(F.max("l_orderkey")).first()[0] or 0
+    return _line_cells(spark, sf).scan(spark, f"{greatest // 4:012d}", f"{greatest // 2:012d}")
+
+
+@query(
+    "sorted_cell_get",
+    f"""WITH {LINE_CELLS_SQL}, n AS (SELECT rowkey, qualifier, value FROM c
+QUALIFY row_number() OVER (PARTITION BY rowkey, qualifier ORDER BY version DESC, family DESC, value DESC) = 1),
+k AS (SELECT DISTINCT lpad((o_orderkey + CASE WHEN o_orderkey % 7 = 0 THEN 1000000000 ELSE 0 END)::VARCHAR, 12, '0') AS rowkey
+FROM orders WHERE o_orderpriority = '1-URGENT')
+SELECT rowkey, coalesce(string_agg(qualifier || '=' || value, ',' ORDER BY qualifier), '') AS cells
+FROM k LEFT JOIN n USING (rowkey) GROUP BY rowkey""",
+)
+def sorted_cell_get(spark, sf):
+    """Urgent orders by key, some of them unknown, from the files that may hold them."""
+    number = F.col("o_orderkey") + F.when(F.col("o_orderkey") % 7 == 0, 1_000_000_000).otherwise(0)
+    urgent = table(spark, sf, "orders").where("o_orderpriority = '1-URGENT'")
+    rows = _line_cells(spark, sf).get(urgent.select(F.lpad(number.cast("string"), 12, "0").alias("rowkey")))
+    text = F.transform(F.array_sort(F.map_entries("cells")), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return rows.select("rowkey", F.array_join(text, ",").alias("cells"))
+
+
 CUSTOMER_CELLS_SQL = """WITH c AS (SELECT c_custkey::VARCHAR AS rowkey, c_name,
 CASE WHEN c_custkey % 5 <> 0 THEN c_mktsegment END AS c_mktsegment, c_nationkey::VARCHAR AS c_nationkey FROM customer)
 SELECT rowkey, 'info' AS family, qualifier, 7::BIGINT AS version, value
