@@ -10,8 +10,10 @@ overlap confirms at 0.8 or more.
 No pairs of a whole bucket are made.  Every member of a bucket is compared with the bucket's first member (in one of four
 orders, by band), and links join components.  In a bucket that still holds several components, members outside the
 largest one are compared with one member of that, which differs from band to band.  What is open then is finished
-exactly: all members outside a bucket's largest component are compared with all others of it, in blocks of bounded size
-that return links only.  Equal texts are one
+exactly by the prefix filter of similarity joins: the units of a bag are ordered from the rarest on, and two bags that
+overlap enough share a unit among the first ones of both, at places that leave room for the overlap.  Members of
+different components that share such a unit, and whose sizes allow it, are met in blocks of bounded size; first each takes its best partner only,
+then its best one in each other component, and what is still open meets all that the filter leaves.  Equal texts are one
 node, so copies cost one row each.
 
 Cases: equal texts are always of one class, empty ones too; a null text is a class of its own for each row; texts without
@@ -20,6 +22,8 @@ a word are compared for equality only; the class id is the smallest doc_id of th
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -36,7 +40,14 @@ WIDTH, SIMILAR = 5, 0.8
 #: Pairs whose signatures agree in fewer registers are not looked at: 4.5 standard deviations below 0.8.
 LEAST_EQUAL = 48
 ORDERS = (0, 0x5A3C96E7, 0x2B51_0000_3C0F, 0x7D00_1F35_0000)
-BLOCK, CHUNK = 256, 4096
+#: Rows of the two sides of a block, and pairs that are held at a time.
+BLOCK, CHUNK, PAIRS = 1024, 4096, 1 << 18
+#: Counts of units decide their order.  Units share this many counts, which bounds the table; any order gives right results.
+COUNTS = 1 << 18
+#: Bags of about one size are met together: sizes of a cell differ by this factor at most.
+CELL = 1.1
+#: Tasks over which the rows of one key are spread in a join.
+SALTS = 16
 #: Ids of a size up to this are broadcast; more are joined by a shuffle.
 BROADCAST_BYTES = 32 << 20
 
@@ -232,67 +243,183 @@ def _confirmed(pairs: DataFrame, bags: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "ua", "ub").mapInArrow(overlap, "a long, b long")
 
 
-def _unfinished(shared: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members ``band, slot, node, root`` of the buckets with several components, and those buckets with their largest one."""
-    members = shared.join(roots, "node", "left").select("band", "slot", "node", F.coalesce("root", "node").alias("root"))
-    sizes = members.groupBy("band", "root").agg(F.count("*").alias("size"))
-    total = sizes.groupBy("band").agg(F.max_by("root", F.struct("size", "root")).alias("large"), F.sum("size").alias("members"), F.max("size").alias("most"), F.count("*").alias("roots"))
-    buckets = total.where("roots > 1").select("band", "large", "members", (F.col("members") - F.col("most")).alias("strays"))
-    return members.join(buckets.select("band", "large"), "band"), buckets
+def _met(rows: DataFrame, groups: DataFrame, key: str) -> DataFrame:
+    """``rows`` (with a ``node``) joined to ``groups`` on a key that most rows may hold: its rows lie in SALTS tasks by their node."""
+    copies = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int")).join(copies, [key, "salt"]).drop("salt")
+
+
+def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    return rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def _open(members: DataFrame, key: str) -> DataFrame:
+    """The keys whose members are of several components: the largest of these, members, strays outside it, and how many are ``small``."""
+    parts = members.groupBy(key, "root").agg(F.count("*").alias("size"), F.sum("small").alias("small"))
+    first = lambda c: F.max_by(c, F.struct("size", "root"))
+    total = parts.groupBy(key).agg(first("root").alias("large"), first("small").alias("inner"), F.sum("small").alias("small"), F.sum("size").alias("members"), F.max("size").alias("most"), F.count("*").alias("roots"))
+    return total.where("roots > 1").select(key, "large", "members", (F.col("members") - F.col("most")).alias("strays"), "inner", (F.col("small") - F.col("inner")).alias("outer"))
+
+
+def _unfinished(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members ``band, node, root, large`` of the buckets with several components."""
+    members = _rooted(shared.select("band", "node"), roots)
+    return _met(members, _open(members.withColumn("small", F.lit(0)), "band").select("band", "large"), "band")
 
 
 def _second_stars(members: DataFrame) -> DataFrame:
     """Each stray with one member of the largest component of its bucket; every bucket takes another order of the nodes."""
     order = F.col("band").bitwiseAND(F.lit((1 << 62) - 1))
     heads = members.where("root = large").groupBy("band").agg(F.min(F.col("node").bitwiseXOR(order)).alias("head"))
-    pairs = members.where("root != large").join(heads, "band").withColumn("head", F.col("head").bitwiseXOR(order))
+    pairs = _met(members.where("root != large"), heads, "band").withColumn("head", F.col("head").bitwiseXOR(order))
     return pairs.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
 
 
-def _last_links(members: DataFrame, buckets: DataFrame, nodes: DataFrame, bags: DataFrame) -> DataFrame:
-    """Links between different components that share a bucket: every stray against every member, in blocks.
+def _place(found: np.ndarray) -> np.ndarray:
+    return (mix(found.view(np.uint32).astype(np.uint64)) >> np.uint64(32)).astype(np.int64) % COUNTS
+
+
+def _unit_counts(bags: DataFrame) -> np.ndarray:
+    """How often units occur in the bags, units with the same place together: COUNTS numbers."""
+
+    def batches(stream):
+        counts = np.zeros(COUNTS, np.int64)
+        for batch in stream:
+            counts += np.bincount(_place(np.asarray(batch.column("units").flatten())), minlength=COUNTS)
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], ["place", "n"])
+
+    rows = bags.select("units").mapInArrow(batches, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(COUNTS, np.int64)
+    out[rows["place"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
+    return out
+
 
-    A pair that shares several bands is looked at in the first of them only.  Of a stray's links to one component, a block
-    returns one; it connects all the same.
+def least_shared(size: np.ndarray) -> np.ndarray:
+    """Units that two bags of ``size`` units in all share at least, if they overlap enough."""
+    return np.ceil(SIMILAR / (1 + SIMILAR) * size - 1e-9).astype(np.int64)
+
+
+@dataclass
+class Prefixes:
+    """Rarest units of bags, one entry each: owner, unit, place, the largest size a partner may have, and cell of sizes.
+
+    A bag needs its first ``n - ceil(0.8 n) + 1`` units to meet smaller bags, and fewer of them (``small``) to meet larger ones.
+    It is ``small`` in the cell of its own size, and stands in each cell of sizes that it may meet as the larger one.
     """
-    size = buckets.select("band", F.ceil(F.col("strays") / BLOCK).alias("blocks"), F.ceil(F.col("members") / CHUNK).alias("chunks"))
-    rows = members.join(size, "band").withColumn("draw", F.xxhash64("node"))
-    every = lambda count: F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
-    sides = [
-        rows.where("root != large").select("band", "slot", F.pmod("draw", "blocks").alias("block"), every("chunks").alias("chunk"), "node", "root", F.lit(True).alias("stray")),
-        rows.select("band", "slot", every("blocks").alias("block"), F.pmod("draw", "chunks").alias("chunk"), "node", "root", F.lit(False).alias("stray")),
-    ]
-    meet = staged(sides[0].union(sides[1]), "near-meet")
-    groups = max(1, -(-meet.count() // CHUNK))  # many small buckets share a group
-    full = meet.join(nodes.select("node", "sig", "n"), "node").join(bags, "node").withColumn("group", F.pmod(F.xxhash64("band", "block", "chunk"), F.lit(groups)))
-    return full.groupBy("group").applyInPandas(_linked, "a long, b long")
-
-
-def _linked(frame: pd.DataFrame) -> pd.DataFrame:
-    """Links of the strays with the members, bucket by bucket."""
-    frame = frame.sort_values(["band", "block", "chunk", "stray"])
-    key = frame[["band", "block", "chunk"]].to_numpy()
+
+    owner: np.ndarray
+    unit: np.ndarray
+    at: np.ndarray
+    limit: np.ndarray
+    cell: np.ndarray
+    small: np.ndarray
+
+
+def prefixes(owners: np.ndarray, found: np.ndarray, sizes: np.ndarray, counts: np.ndarray) -> Prefixes:
+    order = np.lexsort((found, counts[_place(found)], owners))
+    owners, found = owners[order], found[order]
+    n = sizes[owners]
+    at = np.arange(len(owners)) - (np.cumsum(sizes) - sizes)[owners]
+    kept = at <= n - np.ceil(SIMILAR * n - 1e-9)
+    owners, found, at, n = owners[kept], found[kept], at[kept], n[kept]
+    # room for the overlap: n - at >= SIMILAR / (1 + SIMILAR) * (n + size of the partner)
+    limit = np.floor((1 + SIMILAR) / SIMILAR * (n - at) + 1e-9).astype(np.int64) - n
+    cell = lambda size: np.floor(np.log(np.maximum(size, 1)) / np.log(CELL)).astype(np.int64)
+    low, high = cell(np.ceil(SIMILAR * n - 1e-9)), cell(np.minimum(n, limit))
+    width = np.maximum(high - low + 1, 0)
+    of = np.repeat(np.arange(len(owners)), width)
+    cells = np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width) + low[of]
+    return Prefixes(owners[of], found[of], at[of], limit[of], cells, (limit >= n)[of] & (cells == cell(n)[of]))
+
+
+def _prefix_rows(bags: DataFrame) -> DataFrame:
+    """``meet, node, n, at, small`` of every bag and each of its prefix units and cells (``meet``), where a partner may be."""
+    counts = bags.sparkSession.sparkContext.broadcast(_unit_counts(bags))
+
+    def batches(stream):
+        for batch in stream:
+            sizes = np.asarray(batch.column("units").value_lengths()).astype(np.int64)
+            owners = np.repeat(np.arange(batch.num_rows), sizes)
+            p = prefixes(owners, np.asarray(batch.column("units").flatten()), sizes, counts.value)
+            columns = [p.unit.astype(np.int64) * 1024 + p.cell, np.asarray(batch.column("node"))[p.owner], sizes[p.owner], p.at, p.limit, p.small.astype(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["meet", "node", "n", "at", "limit", "small"])
+
+    rows = staged(bags.select("node", "units").mapInArrow(batches, "meet long, node long, n long, at long, limit long, small long"), "near-prefixes")
+    asking = F.col("small") == 1
+    bounds = rows.groupBy("meet").agg(F.min(F.when(asking, F.col("n"))).alias("least"), F.max(F.when(asking, F.col("limit"))).alias("most"), F.count("*").alias("rows")).where("least is not null and rows > 1")
+    return _met(rows, bounds, "meet").where("limit >= least and n <= most").select("meet", "node", "n", "at", "small")
+
+
+def _partners(frame: pd.DataFrame, once: bool) -> pd.DataFrame:
+    """Pairs of asking bags with larger ones of other components, block by block, that the places of their shared unit allow.
+
+    ``room`` is what the shared units may exceed the needed ones by.  ``once`` leaves an asker's best partner of each component.
+    """
+    frame = frame.sort_values(["meet", "part", "block", "chunk", "asks"])
+    key = frame[["meet", "part", "block", "chunk"]].to_numpy()
     cuts = np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1, [len(frame)]])
-    stray, slot, node, root, n = (frame[c].to_numpy() for c in ("stray", "slot", "node", "root", "n"))
-    sig, bag, found = np.stack(frame["sig"].to_numpy()), frame["units"].to_numpy(), []
-    for low, high in zip(cuts[:-1], cuts[1:]):
-        middle = low + int((~stray[low:high]).sum())
-        y = sig[low:middle]
-        for k in range(middle, high):
-            able = np.flatnonzero((root[low:middle] != root[k]) & (np.minimum(n[low:middle], n[k]) >= SIMILAR * np.maximum(n[low:middle], n[k])))
-            if not len(able):
-                continue
-            same = y[able] == sig[k]
-            first = same.reshape(len(able), BANDS, ROWS).all(axis=2).argmax(axis=1) == slot[k]
-            likely = same.sum(axis=1)
-            order = np.argsort(-likely, kind="stable")
-            done = set()
-            for m in order[(first & (likely >= LEAST_EQUAL))[order]]:
-                other = low + able[m]
-                if root[other] not in done and _overlap(bag[k], bag[other]):
-                    done.add(root[other])
-                    found.append((min(node[k], node[other]), max(node[k], node[other])))
-    return pd.DataFrame(np.array(found, np.int64).reshape(-1, 2), columns=["a", "b"])
+    asking, node, root, n, at = (frame[c].to_numpy() for c in ("asks", "node", "root", "n", "at"))
+    of = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
+    members = np.bincount(of[~asking], minlength=len(cuts) - 1)
+    asks = np.flatnonzero(asking)
+    width, low = members[of[asks]], cuts[of[asks]]
+    ends, found, begin = np.cumsum(width), [], 0
+    while begin < len(asks):
+        done = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, done + PAIRS, "right")))
+        w = width[begin:end]
+        x = np.repeat(asks[begin:end], w)
+        y = np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w) + np.repeat(low[begin:end], w)
+        room = np.minimum(n[x] - at[x], n[y] - at[y]) - least_shared(n[x] + n[y])
+        good = (root[x] != root[y]) & (n[x] <= n[y]) & (room >= 0) & (n[x] >= SIMILAR * n[y] - 1e-9)
+        found.append(pd.DataFrame({"node": node[x[good]], "other": node[y[good]], "root": root[y[good]], "room": room[good]}))
+        begin = end
+    pairs = pd.concat(found) if found else pd.DataFrame({c: np.empty(0, np.int64) for c in ("node", "other", "root", "room")})
+    if once:
+        pairs = pairs.sort_values(["node", "root", "room", "other"], ascending=[True, True, False, True]).drop_duplicates(["node", "root"])
+    return pairs
+
+
+def _blocks(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """Askers and members in blocks: those outside the largest component of a meeting ask all, those inside ask the others."""
+    members = staged(_rooted(rows, roots), "near-rooted")
+    met = staged(_met(members, _open(members, "meet"), "meet").withColumn("draw", F.xxhash64("node")), "near-open-meets")
+    outside, every = F.col("root") != F.col("large"), lambda count: F.explode(F.sequence(F.lit(0).cast("long"), count - 1))
+    own, sides = ["node", "root", "n", "at"], []
+    for part, (who, asked, number, total) in enumerate([(outside, F.lit(True), "outer", "members"), (~outside, outside, "inner", "strays")]):
+        blocks, chunks = F.ceil(F.col(number) / BLOCK), F.ceil(F.col(total) / CHUNK)
+        some, which = met.where(F.col(number) > 0), F.lit(part).alias("part")
+        sides.append(some.where(who & (F.col("small") == 1)).select("meet", which, F.pmod("draw", blocks).alias("block"), every(chunks).alias("chunk"), *own, F.lit(True).alias("asks")))
+        sides.append(some.where(asked).select("meet", which, every(blocks).alias("block"), F.pmod("draw", chunks).alias("chunk"), *own, F.lit(False).alias("asks")))
+    return staged(sides[0].union(sides[1]).union(sides[2]).union(sides[3]), "near-blocks")
+
+
+def _prefix_pairs(rows: DataFrame, roots: DataFrame, per: list[str]) -> DataFrame:
+    """Pairs ``a, b`` of different components that share a prefix unit; for each ``per`` only the best one, without it all."""
+    blocks = _blocks(rows, roots)
+    groups = max(1, -(-blocks.count() // CHUNK))  # many units of few members share a group
+    pairs = blocks.withColumn("group", F.pmod(F.xxhash64("meet", "part", "block", "chunk"), F.lit(groups))).groupBy("group").applyInPandas(lambda frame: _partners(frame, bool(per)), "node long, other long, root long, room long")
+    if per:
+        pairs = pairs.groupBy(*per).agg(F.max_by(F.struct(F.col("node").alias("n"), "other"), F.struct("room", "other")).alias("best")).select(F.col("best.n").alias("node"), "best.other")
+    return pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+
+
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after further links."""
+    links = staged(links, "near-links")
+    return components(links.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))) if links.limit(1).count() else roots
+
+
+def _last_links(members: DataFrame, nodes: DataFrame, bags: DataFrame, roots: DataFrame) -> DataFrame:
+    """Components once every link between members of open buckets is found."""
+    rows = staged(_prefix_rows(staged(members.select("node").distinct().join(bags, "node"), "near-open-bags")), "near-prefix-rows")
+    for per in (["node"], ["node", "root"], []):
+        pairs = staged(_prefix_pairs(rows, roots, per), "near-pairs")
+        if pairs.limit(1).count() == 0:
+            break
+        roots = _joined(roots, _confirmed(_likely(pairs, nodes), bags))
+    return roots
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -304,18 +431,16 @@ def classes(docs: DataFrame) -> DataFrame:
     bands = staged(_bands(nodes), "near-bands")
     order = F.element_at(F.array(*[F.lit(o).cast("long") for o in ORDERS]), (F.col("slot") % len(ORDERS) + 1).cast("int"))
     buckets = bands.groupBy("band", "slot").agg(F.min(F.col("node").bitwiseXOR(order)).alias("first"), F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    shared = staged(bands.join(buckets.select("band", F.col("first").bitwiseXOR(order).alias("first")), "band").select("band", "slot", "node", "first"), "near-shared")
+    firsts_of = buckets.select("band", F.col("first").bitwiseXOR(order).alias("first"))
+    shared = staged(_met(bands, firsts_of, "band").select("band", "node", "first"), "near-shared")
     bags = staged(_bags(staged(shared.select("node").distinct().select("node", F.col("node").alias("row")), "near-wanted"), docs), "near-bags")
     stars = shared.where("node != first").select(F.least("node", "first").alias("a"), F.greatest("node", "first").alias("b")).distinct()
     roots = components(_confirmed(_likely(stars, nodes), bags))
     for finish in (False, True):
-        members, open_buckets = (staged(x, "near-open") for x in _unfinished(shared, roots))
-        if open_buckets.limit(1).count() == 0:
+        members = staged(_unfinished(shared, roots), "near-open")
+        if members.limit(1).count() == 0:
             break
-        links = _last_links(members, open_buckets, nodes, bags) if finish else _confirmed(_likely(_second_stars(members), nodes), bags)
-        links = staged(links, "near-links")
-        if links.limit(1).count():
-            roots = components(links.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+        roots = _last_links(members, nodes, bags, roots) if finish else _joined(roots, _confirmed(_likely(_second_stars(members), nodes), bags))
     linked = nodes.select("node", "key", "least").join(roots, "node", "left").select("key", "least", F.coalesce("root", "node").alias("root"))
     smallest = linked.groupBy("root").agg(F.min("least").alias("class_id"))
     found = staged(linked.join(smallest, "root").select("key", "class_id", F.col("root").alias("label")), "near-classes")
