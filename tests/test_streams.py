@@ -294,3 +294,15 @@ def test_late_split_goes_on_after_an_empty_batch(spark, tmp_path):
     for k, rows in enumerate([[(1, 100)], [], [(2, 50), (3, 200)]]):
         split(spark.createDataFrame(rows, "n long, ms long"), k)
     assert [r.n for r in split.read(spark, "late").collect()] == [2]
+
+
+@pytest.mark.parametrize("name", ["fan_out", "dead_letters_stream", "enrich_stream_cells", "enrich_stream_documents"])
+def test_tables_that_are_folders_are_streamed_whole(spark, sf_dir, tmp_path, name):
+    """Large tables are folders of files; a stream reads all of these, as it reads a table in one file."""
+    from tidemill.queries import QUERIES
+
+    for table in ("conversations", "nation"):
+        spark.read.parquet(f"{sf_dir}/{table}.parquet").repartition(3).write.parquet(f"{tmp_path}/{table}.parquet")
+    spark.read.parquet(f"{sf_dir}/conversations.parquet").limit(5).write.parquet(f"{tmp_path}/old_conversations.parquet")
+    whole, parts = (sorted(map(str, QUERIES[name](spark, d).collect())) for d in (sf_dir, str(tmp_path)))
+    assert whole and parts == whole

@@ -36,8 +36,10 @@ from tidemill.streaming.snapshots import BoundSnapshot
 
 
 def table_stream(spark, sf, name):
+    """A table is one file or a folder of files.  The path is a pattern that only the table matches: Spark lists
+    what it finds there, where a plain path could not be a file and a filter on file names would miss a folder's."""
     schema = table(spark, sf, name).schema
-    return file_stream(spark, sf, schema, glob=f"{name}.parquet")
+    return file_stream(spark, f"{sf}/[{name[0]}]{name[1:]}.parquet", schema)
 
 
 def finish(stream_query):
