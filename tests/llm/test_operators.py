@@ -124,6 +124,20 @@ def test_top_k_equals_brute_force(spark):
     assert not got
     assert topk.top_k(frame.limit(0), F.col("vec_id") % 100 == 0).count() == 0
 
+@pytest.mark.parametrize("rows", [8, 11, 12, 60])
+def test_top_k_of_one_block_with_the_queries_own_rows(spark, rows):
+    """The own row, which is left out, takes no place among the best of its block."""
+    draw = np.random.default_rng(rows)
+    vectors = draw.normal(size=(rows, 4))
+    frame = spark.createDataFrame([(100 * k, [float(x) for x in v]) for k, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    found = topk.top_k(frame, F.col("vec_id") % 100 == 0, pivots=1).collect()
+    v = np.floor(vectors * 1024).astype(np.int64)
+    want = set()
+    for n in range(rows):
+        order = [x for x in sorted(range(rows), key=lambda x: (-int(v[x] @ v[n]), x)) if x != n][:10]
+        want |= {(100 * n, r, 100 * x, int(v[x] @ v[n])) for r, x in enumerate(order, 1)}
+    assert sorted(map(tuple, found)) == sorted(want)
+
 
 # -- licenses
 

@@ -85,8 +85,8 @@ def _best(queries: np.ndarray, ids: np.ndarray, scores: np.ndarray, own: np.ndar
     order = np.argsort(ids, kind="stable")
     ids, scores, own = ids[order], scores[:, order], own[:, order]
     rank = np.where(own, scores, np.iinfo(np.int64).min)
-    n = min(k, len(ids))
-    floor = -np.partition(-rank, n - 1, axis=1)[:, n - 1 : n]
+    at = len(ids) - min(k, len(ids))  # not by negation: the least number is its own negative
+    floor = np.partition(rank, at, axis=1)[:, at : at + 1]
     a, b = np.nonzero((rank >= floor) & own)
     frame = pd.DataFrame({"query_id": queries[a], "vec_id": ids[b], "score": scores[a, b]})
     frame = frame.sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
