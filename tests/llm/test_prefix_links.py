@@ -98,3 +98,54 @@ def test_templated_texts_are_not_compared_with_each_other(spark, tmp_path, monke
     assert found == brute_classes(texts)
     assert len({found[k] for k in range(400)}) == 400
     assert compared[0] < 10 * 400
+
+
+def test_bags_differ_in_as_many_units_as_their_sketches_in_bits():
+    draw = np.random.default_rng(3)
+    for size in (1, 5, 40, 3000):
+        pool = draw.integers(-(2**31), 2**31, size + 20).astype(np.int32)
+        bags = [np.unique(draw.permutation(pool)[:size]) for _ in range(2)] + [np.empty(0, np.int32)]
+        sketch = neardup.sketches(np.repeat([0, 1, 2], [len(b) for b in bags]), np.concatenate(bags), 3)
+        for a, b in ((0, 1), (0, 2), (1, 1)):
+            bits, units = neardup.differing_bits(sketch[[a]], sketch[[b]])[0], len(np.setxor1d(bags[a], bags[b]))
+            assert bits <= units and bits % 2 == units % 2
+
+
+def test_bags_below_the_wanted_overlap_are_not_paired(spark, monkeypatch):
+    """Many bags of one pool that share first units but overlap too little: pairs to confirm don't grow with all pairs."""
+    paired, real = [0], neardup.staged
+
+    def watched(frame, label):
+        out = real(frame, label)
+        paired[0] += out.count() if label == "near-pairs" else 0
+        return out
+
+    monkeypatch.setattr(neardup, "staged", watched)
+    monkeypatch.setattr(neardup, "_likely", lambda pairs, nodes: pairs)
+    draw = random.Random(23)
+    pool = draw.sample(range(10**8), 124)
+    bags = [sorted(draw.sample(pool, 100)) for _ in range(150)]
+    bags += [sorted([*bags[0][1:], 10**9]), sorted([*bags[0][2:], 10**9, 10**9 + 1])]
+    links = [(a, b) for a in range(len(bags)) for b in range(a) if overlap(np.array(bags[a]), np.array(bags[b]))]
+    frame = spark.createDataFrame(list(enumerate(bags)), "node long, units array<int>")
+    found = {r.node: r.root for r in neardup._last_links(frame.select("node"), None, frame, spark.createDataFrame([], "node long, root long")).collect()}
+    assert {a for a, _ in links} <= found.keys() and all(found[a] == found.get(b, b) for a, b in links)
+    assert paired[0] < 5 * len(bags)
+
+
+def test_components_end_with_stars(spark, monkeypatch):
+    """The round that makes the last star is the last round."""
+    from tidemill.llm import components as C
+
+    rounds, real = [0], C.staged
+
+    def watched(frame, label):
+        rounds[0] += 1
+        return real(frame, label)
+
+    monkeypatch.setattr(C, "staged", watched)
+    links = [(7, 3), (9, 3), (3, 3), (12, 11), (12, 11)]
+    found = C.components(spark.createDataFrame(links, "a long, b long"))
+    assert sorted(map(tuple, found.collect())) == [(7, 3), (9, 3), (12, 11)] and rounds[0] == 1
+    chain = C.components(spark.createDataFrame([(k, k + 1) for k in range(40)], "a long, b long"))
+    assert sorted(map(tuple, chain.collect())) == [(k, 0) for k in range(1, 41)]

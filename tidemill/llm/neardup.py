@@ -12,7 +12,7 @@ orders, by band), and links join components.  In a bucket that still holds sever
 largest one are compared with one member of that, which differs from band to band.  What is open then is finished
 exactly by the prefix filter of similarity joins: the units of a bag are ordered from the rarest on, and two bags that
 overlap enough share a unit among the first ones of both, at places that leave room for the overlap.  Members of
-different components that share such a unit, and whose sizes allow it, are met in blocks of bounded size; first each takes its best partner only,
+different components that share such a unit, and whose sizes and sketches allow it, are met in blocks of bounded size; first each takes its best partner only,
 then its best one in each other component, and what is still open meets all that the filter leaves.  Equal texts are one
 node, so copies cost one row each.
 
@@ -46,6 +46,8 @@ BLOCK, CHUNK, PAIRS = 1024, 4096, 1 << 18
 COUNTS = 1 << 18
 #: Bags of about one size are met together: sizes of a cell differ by this factor at most.
 CELL = 1.1
+#: Bits of a bag's sketch, in words of 64: each unit flips one of them, so that two bags differ in as many units at least as their sketches in bits.
+SKETCH = 8
 #: Tasks over which the rows of one key are spread in a join.
 SALTS = 16
 #: Ids of a size up to this are broadcast; more are joined by a shuffle.
@@ -300,6 +302,19 @@ def least_shared(size: np.ndarray) -> np.ndarray:
     return np.ceil(SIMILAR / (1 + SIMILAR) * size - 1e-9).astype(np.int64)
 
 
+def sketches(owners: np.ndarray, found: np.ndarray, n: int) -> np.ndarray:
+    """n x SKETCH words: for each bit, whether an odd number of the bag's units falls on it."""
+    at = (mix(found.view(np.uint32).astype(np.uint64) + _STEP) >> np.uint64(32)).astype(np.int64) % (SKETCH * 64)
+    places, counts = np.unique(owners * (SKETCH * 64) + at, return_counts=True)
+    bits = np.zeros(n * SKETCH * 64, np.uint8)
+    bits[places[counts % 2 == 1]] = 1
+    return np.packbits(bits).view(np.int64).reshape(n, SKETCH)
+
+
+def differing_bits(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.bitwise_count((x ^ y).view(np.uint64)).sum(axis=1).astype(np.int64)
+
+
 @dataclass
 class Prefixes:
     """Rarest units of bags, one entry each: owner, unit, place, the largest size a partner may have, and cell of sizes.
@@ -334,7 +349,7 @@ def prefixes(owners: np.ndarray, found: np.ndarray, sizes: np.ndarray, counts: n
 
 
 def _prefix_rows(bags: DataFrame) -> DataFrame:
-    """``meet, node, n, at, small`` of every bag and each of its prefix units and cells (``meet``), where a partner may be."""
+    """``meet, node, n, at, small, sketch`` of every bag and each of its prefix units and cells (``meet``), where a partner may be."""
     counts = bags.sparkSession.sparkContext.broadcast(_unit_counts(bags))
 
     def batches(stream):
@@ -345,16 +360,23 @@ def _prefix_rows(bags: DataFrame) -> DataFrame:
             columns = [p.unit.astype(np.int64) * 1024 + p.cell, np.asarray(batch.column("node"))[p.owner], sizes[p.owner], p.at, p.limit, p.small.astype(np.int64)]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["meet", "node", "n", "at", "limit", "small"])
 
+    def sketched(stream):
+        for batch in stream:
+            owners = np.repeat(np.arange(batch.num_rows), np.asarray(batch.column("units").value_lengths()).astype(np.int64))
+            own = sketches(owners, np.asarray(batch.column("units").flatten()), batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([x.tobytes() for x in own], pa.binary())], ["node", "sketch"])
+
     rows = staged(bags.select("node", "units").mapInArrow(batches, "meet long, node long, n long, at long, limit long, small long"), "near-prefixes")
     asking = F.col("small") == 1
     bounds = rows.groupBy("meet").agg(F.min(F.when(asking, F.col("n"))).alias("least"), F.max(F.when(asking, F.col("limit"))).alias("most"), F.count("*").alias("rows")).where("least is not null and rows > 1")
-    return _met(rows, bounds, "meet").where("limit >= least and n <= most").select("meet", "node", "n", "at", "small")
+    met = _met(rows, bounds, "meet").where("limit >= least and n <= most").select("meet", "node", "n", "at", "small")
+    return met.join(bags.select("node", "units").mapInArrow(sketched, "node long, sketch binary"), "node")
 
 
 def _partners(frame: pd.DataFrame, once: bool) -> pd.DataFrame:
     """Pairs of asking bags with larger ones of other components, block by block, that the places of their shared unit allow.
 
-    ``room`` is what the shared units may exceed the needed ones by.  ``once`` leaves an asker's best partner of each component.
+    ``room`` is what the shared units may exceed the needed ones by; what the sketches differ by must leave enough shared ones, too.  ``once`` leaves an asker's best partner of each component.
     """
     frame = frame.sort_values(["meet", "part", "block", "chunk", "asks"])
     key = frame[["meet", "part", "block", "chunk"]].to_numpy()
@@ -364,6 +386,7 @@ def _partners(frame: pd.DataFrame, once: bool) -> pd.DataFrame:
     members = np.bincount(of[~asking], minlength=len(cuts) - 1)
     asks = np.flatnonzero(asking)
     width, low = members[of[asks]], cuts[of[asks]]
+    sketch = np.frombuffer(b"".join(frame["sketch"]), np.int64).reshape(-1, SKETCH)
     ends, found, begin = np.cumsum(width), [], 0
     while begin < len(asks):
         done = ends[begin - 1] if begin else 0
@@ -373,6 +396,8 @@ def _partners(frame: pd.DataFrame, once: bool) -> pd.DataFrame:
         y = np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w) + np.repeat(low[begin:end], w)
         room = np.minimum(n[x] - at[x], n[y] - at[y]) - least_shared(n[x] + n[y])
         good = (root[x] != root[y]) & (n[x] <= n[y]) & (room >= 0) & (n[x] >= SIMILAR * n[y] - 1e-9)
+        x, y, room = x[good], y[good], room[good]
+        good = differing_bits(sketch[x], sketch[y]) <= n[x] + n[y] - 2 * least_shared(n[x] + n[y])
         found.append(pd.DataFrame({"node": node[x[good]], "other": node[y[good]], "root": root[y[good]], "room": room[good]}))
         begin = end
     pairs = pd.concat(found) if found else pd.DataFrame({c: np.empty(0, np.int64) for c in ("node", "other", "root", "room")})
@@ -386,7 +411,7 @@ def _blocks(rows: DataFrame, roots: DataFrame) -> DataFrame:
     members = staged(_rooted(rows, roots), "near-rooted")
     met = staged(_met(members, _open(members, "meet"), "meet").withColumn("draw", F.xxhash64("node")), "near-open-meets")
     outside, every = F.col("root") != F.col("large"), lambda count: F.explode(F.sequence(F.lit(0).cast("long"), count - 1))
-    own, sides = ["node", "root", "n", "at"], []
+    own, sides = ["node", "root", "n", "at", "sketch"], []
     for part, (who, asked, number, total) in enumerate([(outside, F.lit(True), "outer", "members"), (~outside, outside, "inner", "strays")]):
         blocks, chunks = F.ceil(F.col(number) / BLOCK), F.ceil(F.col(total) / CHUNK)
         some, which = met.where(F.col(number) > 0), F.lit(part).alias("part")
