@@ -578,3 +578,27 @@ def test_copies_are_one_labelled_finding(spark):
     for most in (4, 21):
         codes, y = secrets.labelled_findings(frame, most=most)
         assert len({x.tobytes() for x in codes}) == len(codes) == 2 * most and y.sum() == most
+
+
+def test_secrets_are_learned_from_all_findings(spark):
+    """Counts, slopes and held findings are those of all rows, also beyond the choice that gives first weights."""
+    draw = random.Random(4)
+    mixed = lambda n: "".join(draw.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=n))
+    texts = [f"see token = {mixed(24)} here" for _ in range(200)] + [f"wonderful number {draw.randrange(10**9, 10**10)} now" for _ in range(200)] + [None, ""]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    codes, target = secrets.labelled_findings(frame)
+    assert len(codes) > 3 * 40  # distinct, and all of them with the usual bound
+    few = secrets.labelled_findings(frame, most=20)
+    model = secrets.fit_secrets(*few)
+    z, secret, count = secrets.held_logits(frame, model)
+    held = secrets.held_out(codes)
+    assert count[secret == 1].sum() == target[held].sum() > 20 and count[secret == 0].sum() >= (1 - target)[held].sum() > 20
+    found = np.floor(model.all_logits(codes[held & (target == 1)]) * secrets.GRID) / secrets.GRID
+    assert sorted(np.repeat(z[secret == 1], count[secret == 1])) == sorted(np.clip(found, -40, 40))
+    before = model.all_logits(codes)
+    secrets._moved(frame, model)
+    loss = lambda z: sum(np.log1p(np.exp(-np.where(target == k, 1, 0) * (2 * k - 1) * z))[(target == k) & ~held].mean() for k in (0, 1))
+    assert loss(model.all_logits(codes)) < loss(before)
+    whole = secrets.learned_secrets(frame, most=20)
+    p = whole.probabilities(codes[held])
+    assert (p[target[held] == 1] >= whole.threshold).mean() >= 0.9 and whole.precision > 0.9

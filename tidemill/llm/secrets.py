@@ -4,8 +4,10 @@ Candidates are all runs of at least eight token characters, wherever they stand,
 network reads each candidate with the text around it, a long one in overlapping windows that cover all of it, of which the
 highest probability counts; it learns from labelled findings: windows with base
 findings count as secrets, candidates without do not.  In half of the examples the text before the candidate is blanked, so that the shape
-of a value counts by itself.  A logistic calibration and a threshold that keeps a wanted recall are fitted on
-findings which the weights have not seen.  Base spans always stay; the network only adds spans.
+of a value counts by itself.  A bounded choice of findings gives first weights.  They are then moved by the gradients of all
+findings of all rows, which tasks sum up, in a step for each of STEPS parts of the texts.  A fifth of all findings, by hash,
+is kept from both; on the whole of it a logistic calibration and a threshold that keeps a wanted recall are fitted.  Base spans always
+stay; the network only adds spans.
 
 Spans count code points, ends are exclusive.  Cases: a null or empty text has no spans; findings of one kind don't
 overlap, those of different kinds may; repeated rows get equal results; without labelled findings of both sorts nothing
@@ -41,6 +43,11 @@ TOKEN[128:] = False
 LONGEST, STEP = 32, 16
 BEFORE, AFTER = 20, 4
 WIDTH = BEFORE + LONGEST + AFTER
+#: Steps over all texts, each on a part of them, and their length; findings beyond MARGIN on their side have no slope.
+STEPS, RATE, MARGIN = 4, 0.05, 5.0
+#: Logits of held findings are counted in bins, GRID of them for one unit, up to 40 on both sides.
+GRID = 64
+WEIGHTS = ("embed", "filters", "bias", "head")
 
 
 def base_findings(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -134,11 +141,35 @@ class SecretModel:
             keep += [view, y, inner.argmax(axis=1) + BEFORE, pooled]
         return pooled @ self.head + self.offset
 
-    def probabilities(self, codes: np.ndarray, together: int = 512) -> np.ndarray:
+    def slopes(self, codes: np.ndarray, error: np.ndarray, keep: list) -> dict[str, np.ndarray]:
+        """The slopes of all weights, from those of the logits and what ``logits`` kept."""
+        view, y, peak, pooled = keep
+        c, e = y.shape[2], self.embed.shape[1]
+        slopes = {"head": pooled.T @ error}
+        into = error[:, None] * self.head[None, :]
+        dy = np.repeat(into[:, None, c:] / y.shape[1], y.shape[1], axis=1)
+        rows, channels = np.indices((len(codes), c))
+        np.add.at(dy, (rows, peak, channels), into[:, :c])
+        dy = (dy * (y > 0)).reshape(-1, c)
+        slopes["filters"], slopes["bias"] = view.T @ dy, dy.sum(axis=0)
+        dview = (dy @ self.filters.T).reshape(len(codes), y.shape[1], self.taps, e)
+        dembed = np.zeros_like(self.embed)
+        for k in range(self.taps):
+            np.add.at(dembed, codes[:, k : k + y.shape[1]], dview[:, :, k])
+        slopes["embed"] = dembed
+        return slopes
+
+    def all_logits(self, codes: np.ndarray, together: int = 512) -> np.ndarray:
         parts = [self.logits(codes[k : k + together]) for k in range(0, len(codes), together)]
-        z = np.concatenate(parts).astype(np.float64) if parts else np.empty(0)
+        return np.concatenate(parts).astype(np.float64) if parts else np.empty(0)
+
+    def odds(self, z: np.ndarray) -> np.ndarray:
+        """Calibrated probabilities of logits."""
         return 1 / (1 + np.exp(-np.clip(self.slope * z + self.shift, -40, 40)))
 
+    def probabilities(self, codes: np.ndarray, together: int = 512) -> np.ndarray:
+        return self.odds(self.all_logits(codes, together))
+
 
 def fit_secrets(codes: np.ndarray, target: np.ndarray, *, recall: float = 0.95, epochs: int = 6, batch: int = 128, rate: float = 0.01, seed: int = 5) -> SecretModel | None:
     """Train on four fifths of the findings; calibrate and choose the threshold on the others, a fifth of each sort."""
@@ -155,7 +186,7 @@ def fit_secrets(codes: np.ndarray, target: np.ndarray, *, recall: float = 0.95,
     out = np.concatenate([s[:cut] for s, cut in zip(sorts, cuts)])
     own = np.sort(np.concatenate([s[cut:] if len(s) > 1 else s for s, cut in zip(sorts, cuts)]))  # a single finding serves for both
     held, held_target, codes, target = codes[out], target[out], codes[own], target[own]
-    values = ["embed", "filters", "bias", "head"]
+    values = WEIGHTS
     first, second, step = {v: 0.0 for v in values}, {v: 0.0 for v in values}, 0
     weight = np.where(target > 0, 0.5 / max(target.mean(), 1e-6), 0.5 / max(1 - target.mean(), 1e-6))
     for _ in range(epochs):
@@ -166,20 +197,8 @@ def fit_secrets(codes: np.ndarray, target: np.ndarray, *, recall: float = 0.95,
             own[blank, :BEFORE] = 32
             keep: list = []
             z = model.logits(own, keep)
-            view, y, peak, pooled = keep
             error = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - target[chosen]) * weight[chosen] / len(own)
-            slopes = {"head": pooled.T @ error}
-            into = error[:, None] * model.head[None, :]
-            dy = np.repeat(into[:, None, c:] / y.shape[1], y.shape[1], axis=1)
-            rows, channels = np.indices((len(own), c))
-            np.add.at(dy, (rows, peak, channels), into[:, :c])
-            dy = (dy * (y > 0)).reshape(-1, c)
-            slopes["filters"], slopes["bias"] = view.T @ dy, dy.sum(axis=0)
-            dview = (dy @ model.filters.T).reshape(len(own), y.shape[1], taps, e)
-            dembed = np.zeros_like(model.embed)
-            for k in range(taps):
-                np.add.at(dembed, own[:, k : k + y.shape[1]], dview[:, :, k])
-            slopes["embed"] = dembed
+            slopes = model.slopes(own, error, keep)
             step += 1
             model.offset -= rate * float(error.sum()) * 10
             for v in values:
@@ -189,30 +208,37 @@ def fit_secrets(codes: np.ndarray, target: np.ndarray, *, recall: float = 0.95,
     for v in values:  # single precision from here on: words are candidates, too
         setattr(model, v, getattr(model, v).astype(np.float32))
     z = model.logits(held).astype(np.float64)
+    model.slope, model.shift = calibration(z, held_target)
+    model.threshold, model.precision, model.recall = recall_threshold(model.probabilities(held), held_target, recall)
+    logging.getLogger(__name__).info("secret network: threshold %.4f, precision %.3f, recall %.3f of held findings", model.threshold, model.precision, model.recall)
+    return model
+
+
+def calibration(z: np.ndarray, target: np.ndarray, count: np.ndarray | None = None) -> tuple[float, float]:
+    """Slope and shift of logits by Newton's method, with a weak prior; ``count``: how many findings each stands for."""
     a, b = 1.0, 0.0
-    for _ in range(200):  # logistic calibration by Newton's method, with a weak prior
+    share = np.full(len(z), 1 / len(z)) if count is None else count / count.sum()
+    for _ in range(200):
         p = 1 / (1 + np.exp(-np.clip(a * z + b, -40, 40)))
-        g = np.array([((p - held_target) * z).mean() + 1e-3 * (a - 1), (p - held_target).mean() + 1e-3 * b])
-        w = p * (1 - p)
-        h = np.array([[(w * z * z).mean() + 1e-3, (w * z).mean()], [(w * z).mean(), w.mean() + 1e-3]])
+        off, w = share * (p - target), share * p * (1 - p)
+        g = np.array([(off * z).sum() + 1e-3 * (a - 1), off.sum() + 1e-3 * b])
+        h = np.array([[(w * z * z).sum() + 1e-3, (w * z).sum()], [(w * z).sum(), w.sum() + 1e-3]])
         d = np.linalg.solve(h, g)
         a, b = a - np.clip(d[0], -1, 1), b - np.clip(d[1], -1, 1)
-    model.slope, model.shift = float(a), float(b)
-    model.threshold, model.precision, model.recall = recall_threshold(model.probabilities(held), held_target, recall)
-    logging.getLogger(__name__).info("secret network: threshold %.4f, precision %.3f, recall %.3f of held findings", model.threshold, model.precision, model.recall)
-    return model
+    return float(a), float(b)
 
 
-def recall_threshold(p: np.ndarray, target: np.ndarray, recall: float, even: float = 0.5) -> tuple[float, float, float]:
+def recall_threshold(p: np.ndarray, target: np.ndarray, recall: float, even: float = 0.5, count: np.ndarray | None = None) -> tuple[float, float, float]:
     """Of the thresholds that find the wanted share of the secrets, the most precise, ties to the smallest; with its
     precision and recall.  All probabilities are tried, and even odds between them; the smallest one finds all secrets, so
     there is a threshold whenever there are some."""
-    secret, total = target > 0, int((target > 0).sum())
+    count = np.ones(len(p), np.int64) if count is None else count
+    secret, total = target > 0, int(count[target > 0].sum())
     best, chosen = (-1.0, 0.0), (1.1, 0.0, 0.0)
     for t in np.unique(np.append(p, even)) if total else ():
         hit = p >= t
-        found = int((hit & secret).sum())
-        precision = found / max(1, int(hit.sum()))
+        found = int(count[hit & secret].sum())
+        precision = found / max(1, int(count[hit].sum()))
         if found >= recall * total and (precision, -t) > best:
             best, chosen = (precision, -t), (float(t), precision, found / total)
     return chosen
@@ -234,6 +260,18 @@ def highest(model: SecretModel, data: np.ndarray, offsets: np.ndarray, starts: n
     return best
 
 
+def _sorted_stretches(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and sorts of all stretches of candidates: 2 secret, 0 word, 1 other, -1 of no sort."""
+    bs, be, _ = base_findings(data, offsets)
+    cs, ce = candidates(data, offsets)
+    of, a, b = stretches(cs, ce)
+    covered = _covered(len(data), bs, be)
+    secret = 2 * (covered[b] - covered[a]) >= b - a
+    y = np.where(secret, 2, np.where(lettered(data, cs, ce)[of], 0, 1))
+    y[~secret & (covered[ce] > covered[cs])[of]] = -1
+    return a, b, y
+
+
 def labelled_findings(docs: DataFrame, *, most: int = 6000, seed: int = 11, together: int = 4096) -> tuple[np.ndarray, np.ndarray]:
     """Windows of candidates with 1 if base findings hold half of them or more and 0 without any: of each sort (secrets,
     words, other candidates) the ``most`` distinct ones with the smallest hash over all candidates of all rows, of which each task keeps its own.  What else a candidate
@@ -243,13 +281,7 @@ def labelled_findings(docs: DataFrame, *, most: int = 6000, seed: int = 11, toge
         kept = [(np.empty(0, np.uint64), np.empty((0, WIDTH), np.uint8))] * 3
         for batch in stream:
             for _, data, offsets in text_slices(batch):
-                bs, be, _ = base_findings(data, offsets)
-                cs, ce = candidates(data, offsets)
-                of, a, b = stretches(cs, ce)
-                covered = _covered(len(data), bs, be)
-                secret = 2 * (covered[b] - covered[a]) >= b - a
-                y = np.where(secret, 2, np.where(lettered(data, cs, ce)[of], 0, 1))
-                y[~secret & (covered[ce] > covered[cs])[of]] = -1
+                a, b, y = _sorted_stretches(data, offsets)
                 for k in range(3):
                     own = np.flatnonzero(y == k)
                     for low in range(0, len(own), together):
@@ -266,11 +298,83 @@ def labelled_findings(docs: DataFrame, *, most: int = 6000, seed: int = 11, toge
     return codes, np.array([r["y"] == 2 for r in rows], np.int64)
 
 
-def _smallest(place: np.ndarray, kept: np.ndarray, codes: np.ndarray, most: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """The ``most`` distinct windows with the smallest hashes of those kept so far and new ones."""
+def _draw(codes: np.ndarray, seed: int) -> np.ndarray:
+    """A hash of each window."""
     own = np.full(len(codes), seed, np.uint64)
     for part in np.ascontiguousarray(codes).view(np.uint64).T:
         own = mix(own * np.uint64(0x9E3779B97F4A7C15) + part)
+    return own
+
+
+def held_out(codes: np.ndarray) -> np.ndarray:
+    """Which windows weights never see: equal ones go together, whatever row they are in."""
+    return _draw(codes, 23) % np.uint64(5) == 0
+
+
+def _summed(docs: DataFrame, add, cells: int, together: int = 4096) -> np.ndarray:
+    """``add(totals, codes, secret)`` over the windows of all findings of all rows, in each task, and the totals of the tasks added up."""
+
+    def batches(stream):
+        totals = np.zeros(cells)
+        for batch in stream:
+            for _, data, offsets in text_slices(batch):
+                a, b, y = _sorted_stretches(data, offsets)
+                own = np.flatnonzero(y >= 0)
+                for low in range(0, len(own), together):
+                    part = own[low : low + together]
+                    add(totals, windows(data, offsets, a[part], b[part]), y[part] == 2)
+        at = np.flatnonzero(totals)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(totals[at])], ["cell", "total"])
+
+    rows = docs.select("text").mapInArrow(batches, "cell long, total double").groupBy("cell").agg(F.sum("total").alias("total")).collect()
+    out = np.zeros(cells)
+    out[[r["cell"] for r in rows]] = [r["total"] for r in rows]
+    return out
+
+
+def _moved(docs: DataFrame, model: SecretModel) -> None:
+    """One step along the slopes of all findings of ``docs`` that are not held out; both sorts weigh the same."""
+    size = sum(getattr(model, v).size for v in WEIGHTS) + 1
+
+    def add(totals, codes, secret):
+        seen = ~held_out(codes)
+        codes, secret = codes[seen], secret[seen]
+        totals[-2:] += [(~secret).sum(), secret.sum()]
+        near = np.where(secret, 1, -1) * model.all_logits(codes) < MARGIN
+        for sort in (0, 1):
+            own = codes[near & (secret == sort)]
+            for low in range(0, len(own), 512):
+                some, keep = own[low : low + 512], []
+                error = 1 / (1 + np.exp(-np.clip(model.logits(some, keep), -40, 40))) - sort
+                slopes = model.slopes(some, error, keep)
+                totals[sort * size : (sort + 1) * size] += np.concatenate([*(slopes[v].ravel() for v in WEIGHTS), [error.sum()]])
+
+    totals = _summed(docs, add, 2 * size + 2)
+    step = sum(0.5 * totals[sort * size : (sort + 1) * size] / max(totals[sort - 2], 1) for sort in (0, 1))
+    step *= RATE / max(1.0, float(np.linalg.norm(step)))
+    for v in WEIGHTS:
+        own, step = np.split(step, [getattr(model, v).size])
+        setattr(model, v, (getattr(model, v) - own.reshape(getattr(model, v).shape)).astype(np.float32))
+    model.offset -= float(step[0])
+
+
+def held_logits(docs: DataFrame, model: SecretModel, every: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Logits in steps of 1 / GRID, whether secret, and how many held findings (or ``every`` finding) of all rows have them."""
+    bins = 80 * GRID + 1
+
+    def add(totals, codes, secret):
+        own = slice(None) if every else held_out(codes)
+        z = np.clip(np.floor(model.all_logits(codes[own]) * GRID), -40 * GRID, 40 * GRID).astype(np.int64) + 40 * GRID
+        totals += np.bincount(z + bins * secret[own], minlength=2 * bins)
+
+    count = _summed(docs, add, 2 * bins).astype(np.int64)
+    at = np.flatnonzero(count)
+    return (at % bins) / GRID - 40, (at >= bins).astype(np.int64), count[at]
+
+
+def _smallest(place: np.ndarray, kept: np.ndarray, codes: np.ndarray, most: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``most`` distinct windows with the smallest hashes of those kept so far and new ones."""
+    own = _draw(codes, seed)
     if len(place) == most:
         small = own < place[-1]
         own, codes = own[small], codes[small]
@@ -294,8 +398,26 @@ def find_secrets(data: np.ndarray, offsets: np.ndarray, model: SecretModel | Non
     return starts[order], ends[order], kinds[order]
 
 
-def learned_secrets(docs: DataFrame, **options) -> SecretModel | None:
-    return fit_secrets(*labelled_findings(docs, **options))
+def learned_secrets(docs: DataFrame, *, recall: float = 0.95, **options) -> SecretModel | None:
+    """First weights from a bounded choice, then steps, calibration and threshold from the findings of all rows."""
+    codes, target = labelled_findings(docs, **options)
+    seen = ~held_out(codes)
+    if seen.sum() < 10 or target[seen].min() == target[seen].max():
+        seen[:] = True
+    model = fit_secrets(codes[seen], target[seen], recall=recall)
+    if model is None:
+        return None
+    part = F.pmod(F.xxhash64("text"), F.lit(STEPS))
+    for k in range(STEPS):
+        _moved(docs.where(part == k), model)
+    z, secret, count = held_logits(docs, model)
+    if len(np.unique(secret)) < 2:  # too few for a fifth of each sort
+        z, secret, count = held_logits(docs, model, every=True)
+    # a bin stands for its lower end, so that a threshold there takes the whole bin
+    model.slope, model.shift = calibration(z, secret, count)
+    model.threshold, model.precision, model.recall = recall_threshold(model.odds(z if model.slope > 0 else z + 1 / GRID), secret, recall, count=count)
+    logging.getLogger(__name__).info("secret network: threshold %.4f, precision %.3f, recall %.3f of held findings", model.threshold, model.precision, model.recall)
+    return model
 
 
 def scan_secrets(docs: DataFrame, model: SecretModel | None) -> DataFrame:
