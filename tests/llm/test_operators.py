@@ -602,3 +602,13 @@ def test_secrets_are_learned_from_all_findings(spark):
     whole = secrets.learned_secrets(frame, most=20)
     p = whole.probabilities(codes[held])
     assert (p[target[held] == 1] >= whole.threshold).mean() >= 0.9 and whole.precision > 0.9
+
+
+def test_looked_up_logits_are_those_of_the_network():
+    draw = np.random.default_rng(6)
+    codes = draw.integers(0, 256, (200, secrets.WIDTH)).astype(np.uint8)
+    model = secrets.fit_secrets(codes, (codes[:, 30] > 200).astype(int), epochs=1)
+    for _ in range(2):
+        assert np.allclose(model.all_logits(codes), model.logits(codes), atol=1e-4)
+        model.embed = model.embed[::-1].copy()
+    assert "_looked_up" not in model.__getstate__()
