@@ -149,3 +149,28 @@ def test_components_end_with_stars(spark, monkeypatch):
     assert sorted(map(tuple, found.collect())) == [(7, 3), (9, 3), (12, 11)] and rounds[0] == 1
     chain = C.components(spark.createDataFrame([(k, k + 1) for k in range(40)], "a long, b long"))
     assert sorted(map(tuple, chain.collect())) == [(k, 0) for k in range(1, 41)]
+
+
+def test_a_round_of_components_reads_written_links(spark, tmp_path, monkeypatch):
+    """Links that are not written are compared again by each branch of a round, and their plan fills the driver."""
+    plans, whole = [], neardup.components
+
+    def noted(links):
+        plans.append(links._jdf.queryExecution().optimizedPlan().toString())
+        return whole(links)
+
+    monkeypatch.setattr(neardup, "components", noted)
+    texts = dict(enumerate(templated(12, 3, random.Random(5), 120) + ["a b c d e f g"] * 2))
+    docs = written(spark, str(tmp_path / "docs"), texts)
+    found = {r.doc_id: r.class_id for r in neardup.near_duplicates(docs).collect()}
+    assert found == brute_classes(texts)
+    assert plans and not any("MapInArrow" in plan or "Join" in plan for plan in plans)
+
+
+def test_counts_of_units_do_not_pass_as_rows(spark, monkeypatch):
+    """262,144 counts are 4 MB as Arrow buffers; as rows they took a hundred times that of the driver."""
+    monkeypatch.setattr(type(spark.range(1)), "toPandas", lambda self: pytest.fail("rows in the driver"))
+    bags = spark.createDataFrame([(1, [5, 6, 6]), (2, [6])], "node long, units array<int>")
+    counts = neardup._unit_counts(bags)
+    assert counts.sum() == 4 and counts[neardup._place(np.array([6], np.int32))[0]] >= 3
+    assert neardup._unit_counts(bags.limit(0)).sum() == 0

@@ -291,9 +291,9 @@ def _unit_counts(bags: DataFrame) -> np.ndarray:
         at = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], ["place", "n"])
 
-    rows = bags.select("units").mapInArrow(batches, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toPandas()
+    rows = bags.select("units").mapInArrow(batches, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()  # 4 MB; as Row objects 100 MB
     out = np.zeros(COUNTS, np.int64)
-    out[rows["place"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
+    out[rows["place"].to_numpy()] = rows["n"].to_numpy()
     return out
 
 
@@ -460,7 +460,7 @@ def classes(docs: DataFrame) -> DataFrame:
     shared = staged(_met(bands, firsts_of, "band").select("band", "node", "first"), "near-shared")
     bags = staged(_bags(staged(shared.select("node").distinct().select("node", F.col("node").alias("row")), "near-wanted"), docs), "near-bags")
     stars = shared.where("node != first").select(F.least("node", "first").alias("a"), F.greatest("node", "first").alias("b")).distinct()
-    roots = components(_confirmed(_likely(stars, nodes), bags))
+    roots = components(staged(_confirmed(_likely(stars, nodes), bags), "near-links"))  # a round reads its links a dozen times
     for finish in (False, True):
         members = staged(_unfinished(shared, roots), "near-open")
         if members.limit(1).count() == 0:
