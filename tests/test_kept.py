@@ -1,6 +1,8 @@
 """Sinks that hold a batch once, tables kept by key, versions bound to batches, state by key."""
 
+import json
 import sys
+import time
 
 import pytest
 from pyspark import cloudpickle
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 from tests.test_events import brute_late, random_events
 from tests.test_streams import run, write_files
 from tidemill.operators import enrich as E
-from tidemill.operators.calls import TIMEOUT, timed_calls
+from tidemill.operators.calls import TIMEOUT, Inputs, timed_calls, timed_stream
 from tidemill.queries.enrich import stand_in_scorer
 from tidemill.session import shared_dir
 from tidemill.sources.committed import FORMAT, Committed, Place, committed_files, committed_sink, read_committed, sweep
@@ -401,3 +403,47 @@ def test_lookups_keep_columns_of_any_name(spark, monkeypatch, strategy, splits):
     assert sorted(map(tuple, found.collect())) == [
         (k, *range(7), "a" if k % 2 else "z", "P" if k % 2 else "", "ok" if k % 2 else "unmatched") for k in range(20)
     ]
+
+
+def test_no_call_waits_for_a_part_before_its_own():
+    def call(n):
+        time.sleep(0.4 if n % 10 == 0 else 0)
+        return n
+
+    parts = [range(k, k + 10) for k in range(0, 120, 10)]  # each with one call that hangs
+    began = time.monotonic()
+    found = list(timed_stream(call, map(Inputs, parts), deadline_seconds=0.2, in_flight=4))
+    took = time.monotonic() - began
+    assert [[o.value if o.error is None else o.error for o in part.outcomes] for part in found] == [[TIMEOUT, *p[1:]] for p in parts]
+    assert took < 1.2  # 12 deadlines in 4 places; part by part it were 12 in a row, 2.4 s
+
+
+def test_parts_ahead_of_a_hanging_one_are_bounded():
+    read = []
+
+    def given():
+        for k in range(200):
+            read.append(k)
+            yield Inputs([k])
+
+    found = timed_stream(lambda n: time.sleep(0.3 if n == 0 else 0), given(), deadline_seconds=5, in_flight=2, ahead=20)
+    next(found)
+    assert len(read) <= 21
+    assert len(list(found)) == 199
+
+
+def test_an_answer_that_came_late_counts_as_none():
+    def given():
+        yield Inputs([0.3])
+        time.sleep(0.6)  # the next part is long in coming; meanwhile the first call ends, too late
+        yield Inputs([0.0])
+
+    found = list(timed_stream(lambda s: time.sleep(s), given(), deadline_seconds=0.15, in_flight=2))
+    assert [p.outcomes[0].error for p in found] == [TIMEOUT, None]
+
+
+def test_waiting_tasks_get_the_same_number_of_rows(spark):
+    lumps = spark.range(0, 900, 1, 1).union(spark.range(900, 910, 1, 30)).select(F.col("id").cast("string").alias("post_content"))
+    scored = E.classify(lumps, _slow_or_wrong, deadline_seconds=5.0).withColumn("task", F.spark_partition_id())
+    rows = [r["count"] for r in scored.groupBy("task").count().collect()]
+    assert sum(rows) == 910 and max(rows) <= 2 * min(rows) and len(rows) >= spark.sparkContext.defaultParallelism

@@ -20,12 +20,14 @@ from tidemill.functions.jsons import (
     json_strings,
     reply_ok,
 )
-from tidemill.operators.calls import TIMEOUT, timed_calls
+from tidemill.operators.calls import TIMEOUT, Inputs, Outcome, timed_calls, timed_stream
 from tidemill.operators.cells import project_cells
 from tidemill.session import shared_dir
 
 # A scorer takes a list of texts and returns one reply text (or None) each.
 Scorer = Callable[[list[str]], list[str | None]]
+#: Tasks per core of calls with a deadline.  What they wait for follows their rows, so all get the same number of rows.
+WAITING_TASKS = 3
 
 
 def classify(
@@ -51,7 +53,9 @@ def classify(
 
     With ``deadline_seconds`` a batch is sent in calls of ``call_texts`` texts,
     at most ``in_flight`` of them at once in a task (the scorer must bear that),
-    and a call that is not done in time counts as a failed attempt.  An error of
+    and a call that is not done in time counts as a failed attempt; the next
+    batches do not wait for it.  The posts are then dealt out evenly over
+    WAITING_TASKS tasks per core, unless ``concurrency`` is given.  An error of
     the service is a failed attempt too; ``TypeError``, ``AttributeError`` and
     ``NameError`` are errors of the program and fail the task.
     """
@@ -61,14 +65,27 @@ def classify(
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = make_scorer()
         try:
+            if deadline_seconds is not None:
+                given = (_Texts(texts, max_attempts, call_texts) for texts in batches)
+                for found in timed_stream(scorer, given, deadline_seconds, in_flight, wait_seconds):
+                    yield found.frame()
+                return
             for texts in batches:
-                yield _score_batch(scorer, texts, max_attempts, wait_seconds, deadline_seconds, in_flight, call_texts)
+                found = _Texts(texts, max_attempts, None)
+                while calls := found.calls():
+                    found.answered(timed_calls(scorer, calls))
+                    if found.pending and wait_seconds:
+                        time.sleep(wait_seconds)
+                yield found.frame()
         finally:
             close = getattr(scorer, "close", None)
             if close:
                 close()
 
-    source = posts.repartition(concurrency) if concurrency else posts
+    tasks = concurrency
+    if deadline_seconds is not None and not concurrency:
+        tasks = WAITING_TASKS * posts.sparkSession.sparkContext.defaultParallelism
+    source = posts.repartition(tasks) if tasks else posts
     # non-deterministic: the optimizer may neither repeat nor move the call
     scored = source.withColumn(f"{p}s", score.asNondeterministic()(F.col(text)))
     # the reply is checked in a projection of its own, once
@@ -91,29 +108,36 @@ def _succeeded(reply: str | None) -> bool:
         return False
 
 
-def _score_batch(
-    scorer: Scorer, texts: pd.Series, max_attempts: int, wait_seconds: float,
-    deadline_seconds: float | None, in_flight: int, call_texts: int,
-) -> pd.DataFrame:
-    replies: list[str | None] = [None] * len(texts)
-    errors: list[str | None] = [None] * len(texts)
-    attempts = [0] * len(texts)
-    pending = [i for i, t in enumerate(texts) if t]
-    for attempt in range(1, max_attempts + 1):
-        if not pending:
-            break
-        if attempt > 1 and wait_seconds:
-            time.sleep(wait_seconds)
-        step = len(pending) if deadline_seconds is None else call_texts
-        parts = [pending[k : k + step] for k in range(0, len(pending), step)]
-        outcomes = timed_calls(scorer, [[texts.iloc[i] for i in part] for part in parts], deadline_seconds, in_flight)
-        for part, outcome in zip(parts, outcomes, strict=True):
+class _Texts(Inputs):
+    """The texts of one batch with what they met.  A text is let go once it is answered."""
+
+    def __init__(self, texts: pd.Series, max_attempts: int, call_texts: int | None):
+        self.texts, self.size, self.call_texts = texts.tolist(), len(texts), call_texts
+        self.replies: list[str | None] = [None] * self.size
+        self.errors: list[str | None] = [None] * self.size
+        self.attempts = [0] * self.size
+        self.pending = [i for i, t in enumerate(self.texts) if t]
+        self.left, self.parts = max_attempts, []
+
+    def calls(self) -> list[list[str]]:
+        self.left -= 1
+        step = self.call_texts or max(len(self.pending), 1)
+        self.parts = [self.pending[k : k + step] for k in range(0, len(self.pending), step)] if self.left >= 0 else []
+        return [[self.texts[i] for i in part] for part in self.parts]
+
+    def answered(self, outcomes: list[Outcome]) -> None:
+        for part, outcome in zip(self.parts, outcomes, strict=True):
             answers = [None] * len(part) if outcome.error else outcome.value
             for i, answer in zip(part, answers, strict=True):
-                replies[i], attempts[i], errors[i] = answer, attempt, outcome.error
-        pending = [i for i in pending if not _succeeded(replies[i])]
-    replied, failed = pd.Series(replies, dtype="object"), pd.Series(errors, dtype="object")
-    return pd.DataFrame({"reply": replied, "attempts": attempts, "error": failed})
+                self.replies[i], self.errors[i] = answer, outcome.error
+                self.attempts[i] += 1
+                if self.left < 1 or _succeeded(answer):
+                    self.texts[i] = None
+        self.pending = [i for i in self.pending if self.texts[i] is not None]
+
+    def frame(self) -> pd.DataFrame:
+        replied, failed = pd.Series(self.replies, dtype="object"), pd.Series(self.errors, dtype="object")
+        return pd.DataFrame({"reply": replied, "attempts": self.attempts, "error": failed})
 
 
 class Replies:
