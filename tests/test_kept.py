@@ -447,3 +447,13 @@ def test_waiting_tasks_get_the_same_number_of_rows(spark):
     scored = E.classify(lumps, _slow_or_wrong, deadline_seconds=5.0).withColumn("task", F.spark_partition_id())
     rows = [r["count"] for r in scored.groupBy("task").count().collect()]
     assert sum(rows) == 910 and max(rows) <= 2 * min(rows) and len(rows) >= spark.sparkContext.defaultParallelism
+
+
+def _measuring_scorer():
+    return lambda texts: [json.dumps({"msg": "成功", "data": [{str(sum(map(len, texts))): 1}]}) for _ in texts]
+
+
+def test_batches_of_texts_are_bounded_by_bytes(spark):
+    posts = spark.range(0, 600, 1, 1).select("id", F.repeat(F.lit("word "), 4000).alias("post_content"))  # 12 MB in one task
+    sizes = {int(r.sub_industry_id[0]) for r in E.classify(posts, _measuring_scorer).collect()}
+    assert max(sizes) <= 3 << 20

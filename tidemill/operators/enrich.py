@@ -22,7 +22,7 @@ from tidemill.functions.jsons import (
 )
 from tidemill.operators.calls import TIMEOUT, Inputs, Outcome, timed_calls, timed_stream
 from tidemill.operators.cells import project_cells
-from tidemill.session import shared_dir
+from tidemill.session import bounded_batches, shared_dir
 
 # A scorer takes a list of texts and returns one reply text (or None) each.
 Scorer = Callable[[list[str]], list[str | None]]
@@ -47,7 +47,8 @@ def classify(
 
     ``make_scorer`` is called once per task, so a client is opened once and
     used for all of its batches.  Only the text crosses to Python, in Arrow
-    batches; other columns stay in the JVM.  Texts without a successful reply
+    batches of bounded bytes (a batch is one call); other columns stay in the
+    JVM.  Texts without a successful reply
     are sent again, at most ``max_attempts`` times, and then reported as
     failed.  ``concurrency`` bounds the number of tasks calling the service.
 
@@ -82,6 +83,7 @@ def classify(
             if close:
                 close()
 
+    bounded_batches(posts.sparkSession)
     tasks = concurrency
     if deadline_seconds is not None and not concurrency:
         tasks = WAITING_TASKS * posts.sparkSession.sparkContext.defaultParallelism
